@@ -76,7 +76,8 @@ MEDIAN = f"(SELECT quantile_disc(rating, 0.5) FROM apps WHERE {PRESENT['rating']
 RATING_FILLED = f"CASE WHEN {PRESENT['rating']} THEN rating ELSE {MEDIAN} END AS rating"
 PLAIN_RATING = f"CASE WHEN {PRESENT['rating']} THEN rating END AS rating"
 
-TO_INT = "TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT)::BIGINT AS {0}"
+TO_INT = "TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT) AS {0}"
+TO_BIGINT = "CAST(TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT) AS BIGINT) AS {0}"
 TO_PRICE = """TRY_CAST(replace(regexp_replace(price, '[^0-9.,]', '', 'g'), ',', '.')
     AS DOUBLE) AS price"""
 TO_DATE = "CAST(CAST(try_strptime(last_updated, '%B %-d, %Y') AS DATE) AS VARCHAR)"
@@ -137,13 +138,22 @@ def _non_numeric(column: str) -> str:
 
 
 def _impute_line(column: str) -> str:
+    filled = RATING_FILLED if column == "rating" else _filled(column)
     return (
         f"SELECT '{column}' AS \"column\", {_count_not(column)} AS before, "
-        f"CAST(0 AS BIGINT) AS after, "
+        f"(SELECT {_count_not(column)} FROM (SELECT {filled} FROM apps)) AS after, "
         f"round(100.0 * {_count_not(column)} / count(*), 2) AS pct_before FROM apps"
     )
 
 
+def _shown(column: str, width: int) -> str:
+    """Display form: at most ``width`` characters, the last three dots."""
+    return (
+        f"CASE WHEN length({column}) > {width} "
+        f"THEN concat(left({column}, {width - 3}), '...') ELSE {column} END AS {column}"
+    )
+
+
 def _union(lines) -> str:
     return " UNION ALL ".join(lines)
 
@@ -177,9 +187,8 @@ ORACLE: dict[str, str] = {
         nullif(type, '') AS type) FROM apps"""
     ),
     "preview_reviews": _reviews(
-        """SELECT review_id, CASE WHEN length(translated_review) > 100
-        THEN concat(left(translated_review, 97), '...') ELSE translated_review END
-        AS translated_review FROM kept ORDER BY review_id LIMIT 5""",
+        f"""SELECT review_id, {_shown('translated_review', 100)}
+        FROM kept ORDER BY review_id LIMIT 5""",
         COMPLETE,
         CLEANED,
         LONG_ENOUGH,
@@ -199,9 +208,9 @@ ORACLE: dict[str, str] = {
     ),
     "reviews_complete": _reviews("SELECT * FROM complete", COMPLETE),
     "reviews_incomplete_sample": _reviews(
-        f"""SELECT review_id, translated_review, sentiment, sentiment_polarity,
-        sentiment_subjectivity FROM reviews WHERE {MISSING_CRITICAL} > 0
-        ORDER BY review_id LIMIT 5"""
+        f"""SELECT review_id, {_shown('translated_review', 20)}, sentiment,
+        sentiment_polarity, sentiment_subjectivity FROM reviews
+        WHERE {MISSING_CRITICAL} > 0 ORDER BY review_id LIMIT 5"""
     ),
     "non_numeric_counts": _reviews(
         _union(map(_non_numeric, ("sentiment_polarity", "sentiment_subjectivity"))), COMPLETE
@@ -303,8 +312,8 @@ ORACLE: dict[str, str] = {
     "type_domain_imputed": _apps(f"SELECT app_id, {_filled('type', IN_DOMAIN)} FROM apps"),
     "all_columns_imputed": _apps(f"SELECT {_imputed_anywhere()} FROM apps"),
     # conversions
-    "reviews_to_int": _apps(f"SELECT app_id, {TO_INT.format('reviews')} FROM apps"),
-    "installs_to_int": _apps(f"SELECT app_id, {TO_INT.format('installs')} FROM apps"),
+    "reviews_to_int": _apps(f"SELECT app_id, {TO_BIGINT.format('reviews')} FROM apps"),
+    "installs_to_int": _apps(f"SELECT app_id, {TO_BIGINT.format('installs')} FROM apps"),
     "price_to_double": _apps(f"SELECT app_id, {TO_PRICE} FROM apps"),
     "last_updated_to_date": _apps(
         f"SELECT app_id, last_updated, {TO_DATE} AS last_updated_date FROM apps"

@@ -79,7 +79,7 @@ def parquet_roundtrip(spark, sf_dir):
     csv = shared_folder(spark, "parquet_roundtrip_csv")
     sources.write_csv(apps_raw(spark, sf_dir).toDF(*headers), csv)
     landed = plans.land_csv(spark, csv, shared_folder(spark, "parquet_roundtrip"), headers)
-    return _long(typed_rating(landed), "app_id")
+    return _long(fn.nan_to_null(typed_rating(landed), "rating"), "app_id")
 
 
 @_register
@@ -114,7 +114,7 @@ def reviews_complete(spark, sf_dir):
 @_register
 def reviews_incomplete_sample(spark, sf_dir):
     rows = ops.incomplete_rows(reviews_raw(spark, sf_dir), plans.CRITICAL)
-    return ops.preview(rows.select("review_id", *plans.CRITICAL), "review_id", 5)
+    return ops.preview(rows.select("review_id", *plans.CRITICAL), "review_id")
 
 
 @_register
@@ -335,9 +335,8 @@ def reviews_clean(spark, sf_dir):
 
 
 def _shown_apps(df: DataFrame) -> DataFrame:
-    """Dates as text and integers as bigint, for comparison."""
-    shown = df.withColumn("last_updated_date", F.col("last_updated_date").cast("string"))
-    return _long(shown, "reviews", "installs")
+    """Dates as text, for comparison."""
+    return df.withColumn("last_updated_date", F.col("last_updated_date").cast("string"))
 
 
 @_register

@@ -22,6 +22,7 @@ from scrubline.functions.missing import (
     nan_to_null,
 )
 from scrubline.functions.text import (
+    clean_length,
     clean_length_between,
     clean_text,
     has_clean_length,
@@ -40,6 +41,7 @@ __all__ = [
     "NULL",
     "Missing",
     "amount_to_double",
+    "clean_length",
     "clean_length_between",
     "clean_text",
     "digits_to_integer",

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 NOT_A_DIGIT = "[^0-9]"
 NOT_IN_AMOUNT = "[^0-9.,]"
 LONG_DATE = "MMMM d, yyyy"
+INT_MAX = 2_147_483_647
 
 
 def to_double(column: Column) -> Column:
@@ -24,11 +25,18 @@ def to_score(column: Column) -> Column:
 def digits_to_integer(column: Column, dtype: str = "int") -> Column:
     """Drop all but digits and read the rest as an integer.
 
-    ``'1,000+'`` gives 1000; a value beyond ``dtype`` gives NULL (choose
-    ``'bigint'`` for more).  Signs, decimal points and suffixes are dropped
+    ``'1,000+'`` gives 1000; a value beyond ``dtype`` (``'int'`` or
+    ``'bigint'``) gives NULL.  Signs, decimal points and suffixes are dropped
     too: ``'3.0M'`` gives 30.
     """
-    return F.regexp_replace(column.cast("string"), NOT_A_DIGIT, "").try_cast(dtype)
+    digits = F.regexp_replace(column.cast("string"), NOT_A_DIGIT, "")
+    # A cast that fails raises and catches an exception for each row, so empty
+    # texts are set aside and the range is tested on the wider type.
+    number = F.nullif(digits, F.lit("")).try_cast("bigint")
+    if dtype == "bigint":
+        return number
+    too_large = F.lit(INT_MAX + 1)
+    return F.nullif(F.least(number, too_large), too_large).try_cast(dtype)
 
 
 def amount_to_double(column: Column) -> Column:

@@ -40,6 +40,11 @@ def clean_text(column: Column) -> Column:
     return F.lower(F.regexp_replace(column, PUNCTUATION_OR_RUN, " "))
 
 
+def clean_length(column: Column) -> Column:
+    """``length(clean_text(column))`` by a cheaper rewrite of equal length."""
+    return F.length(F.regexp_replace(column, r"\W+", " "))
+
+
 def has_clean_length(column: Column, least: int) -> Column:
     """``length(clean_text(column)) >= least``, from the raw text.
 
@@ -47,7 +52,7 @@ def has_clean_length(column: Column, least: int) -> Column:
     short texts, and a filter on it does not clean every text a second time.
     """
     if least > MAX_UNITS:
-        return F.length(clean_text(column)) >= least
+        return clean_length(column) >= least
     return column.rlike(rf"^(?:\w|\W++){{{least}}}")
 
 

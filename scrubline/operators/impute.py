@@ -49,10 +49,8 @@ class ImputeModel:
         return next(f for f in self.fills if f.column == column)
 
     def filled(self, df: DataFrame, column: str) -> Column:
-        """The imputed column; unchanged if it had no value to learn from."""
+        """The imputed column; its gaps are NULL if it had no value to learn from."""
         fill = self._fill(column)
-        if fill.value is None:
-            return named(column)
         value = F.lit(fill.value).cast(df.schema[column].dataType)
         return F.when(is_missing(df, column, fill.missing), value).otherwise(named(column))
 

@@ -10,20 +10,25 @@ from scrubline.functions.text import show_text
 
 
 def preview(
-    df: DataFrame, key: str, rows: int = 5, width: int | None = None
+    df: DataFrame, key: str, rows: int = 5, width: int | None = 20
 ) -> DataFrame:
     """The first rows by ``key``, for display.
 
-    With ``width`` long texts are cut before the rows are ranked, so the
-    candidates that the tasks send stay small.
+    A first job ranks the keys alone, so no other column is computed or moved
+    for rows that are not shown.  The last key found then bounds the scan.
+    Texts longer than ``width`` are cut; ``width=None`` shows them whole.
     """
-    if width:
-        df = df.select(
-            *(
-                show_text(named(f.name), width).alias(f.name)
-                if isinstance(f.dataType, T.StringType)
-                else named(f.name)
-                for f in df.schema
-            )
-        )
-    return df.orderBy(named(key)).limit(rows)
+    order = named(key).asc_nulls_last()
+    keys = df.select(named(key)).orderBy(order).limit(rows).collect()
+    if len(keys) == rows and keys[-1][0] is not None:
+        df = df.where(named(key) <= keys[-1][0])
+    shown = df.orderBy(order).limit(rows)
+    if not width:
+        return shown
+    return shown.withColumns(
+        {
+            f.name: show_text(named(f.name), width)
+            for f in df.schema
+            if isinstance(f.dataType, T.StringType)
+        }
+    )

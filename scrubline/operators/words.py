@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from scrubline.functions.missing import named
 from scrubline.functions.text import (
+    clean_length,
     clean_length_between,
-    clean_text,
     normalize_label,
     words,
 )
@@ -21,7 +21,7 @@ def min_length(df: DataFrame, column: str, least: int) -> DataFrame:
 
 def length_distribution(df: DataFrame, column: str) -> DataFrame:
     """(length, n): rows by length of the cleaned text, shortest first."""
-    length = F.length(clean_text(named(column))).cast("bigint")
+    length = clean_length(named(column)).cast("bigint")
     return (
         df.groupBy(length.alias("length")).agg(F.count("*").alias("n")).orderBy("length")
     )

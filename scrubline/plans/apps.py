@@ -10,7 +10,7 @@ from scrubline.functions.convert import (
     long_date,
     to_double,
 )
-from scrubline.functions.missing import AUDIT, BLANK, NAN, nan_to_null, named
+from scrubline.functions.missing import AUDIT, BLANK, NAN, named
 from scrubline.operators.impute import (
     ImputeModel,
     fit_median,
@@ -51,8 +51,8 @@ CLEAN_ORDER = (
 
 
 def typed_rating(df: DataFrame) -> DataFrame:
-    """``rating`` as double, NaN as NULL."""
-    return nan_to_null(df.withColumn("rating", to_double(named("rating"))), "rating")
+    """``rating`` as double."""
+    return df.withColumn("rating", to_double(named("rating")))
 
 
 def fit_apps(df: DataFrame, relative_error: float | None = None) -> ImputeModel:
@@ -85,8 +85,7 @@ def clean_apps(
     passes over five columns.  The result itself is one narrow projection.
     """
     model = model or fit_apps(df, relative_error)
-    typed = nan_to_null(typed_rating(df), "content_rating", "current_ver", "android_ver")
-    cleaned = convert_apps(model.transform(typed), count_type)
+    cleaned = convert_apps(model.transform(typed_rating(df)), count_type)
     extra = [c for c in df.columns if c not in CLEAN_ORDER]
     return cleaned.select(*(named(c) for c in (*extra, *CLEAN_ORDER)))
 

@@ -1,0 +1,166 @@
+from __future__ import annotations
+
+import random
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from scrubline import functions as fn
+
+
+def column(spark, values, expression, dtype="string"):
+    """Values of ``expression(x)`` for the given values of ``x``, in order."""
+    rows = [(i, v) for i, v in enumerate(values)]
+    df = spark.createDataFrame(rows, f"i int, x {dtype}")
+    out = df.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()
+    return [r.y for r in out]
+
+
+def test_digits_to_integer(spark, ansi):
+    values = ["1,000+", "3.0M", "-7", "", None, "Free", "5,000,000,000+", "2147483647",
+              "2147483648", "0000000000000000000000012", "9" * 30]
+    assert column(spark, values, fn.digits_to_integer) == [
+        1000, 30, 7, None, None, None, None, 2147483647, None, 12, None
+    ]
+    wide = column(spark, values, lambda c: fn.digits_to_integer(c, "bigint"))
+    assert wide[6] == 5_000_000_000 and wide[8] == 2147483648 and wide[10] is None
+
+
+def test_digits_to_integer_type(spark):
+    df = spark.createDataFrame([("1",)], "x string")
+    assert df.select(fn.digits_to_integer(F.col("x")).alias("y")).schema["y"].dataType.simpleString() == "int"
+
+
+def test_digits_of_numbers_are_those_of_their_text(spark, ansi):
+    assert column(spark, [159.0], fn.digits_to_integer, "double") == [1590]
+
+
+def test_amount_to_double(spark, ansi):
+    values = ["$4.99", "1,99", "$1,234.56", "0", "Everyone", "", None, ".5", "5."]
+    assert column(spark, values, fn.amount_to_double) == [
+        4.99, 1.99, None, 0.0, None, None, None, 0.5, 5.0
+    ]
+
+
+def test_long_date(spark, ansi):
+    values = ["January 7, 2018", "January 07, 2018", "jANUARY 7, 2018", "Jan 7, 2018",
+              "February 30, 2018", "2018-01-07", " January 7, 2018", "1.0.19", "", None]
+    day = date(2018, 1, 7)
+    assert column(spark, values, fn.long_date) == [day, day, day] + [None] * 7
+
+
+def test_to_score(spark, ansi):
+    low, nan, bad, gap = column(spark, ["-0.07", "nan", "abc", None], fn.to_score)
+    assert low == pytest.approx(-0.07) and low != -0.07  # 32 bits
+    assert nan != nan and bad is None and gap is None
+
+
+def test_is_non_numeric(spark, ansi):
+    values = ["1", "abc", "", "nan", None, " 2 "]
+    assert column(spark, values, fn.is_non_numeric) == [False, True, True, False, False, False]
+
+
+def test_percentage(spark, ansi):
+    df = spark.createDataFrame([(1, 3), (0, 0)], "a long, b long")
+    shares = [r[0] for r in df.select(fn.percentage(F.col("a"), F.col("b"))).collect()]
+    assert shares == [33.33, 0.0]
+
+
+NAN_SPELLINGS = ["NaN", "nan", "NAN", " NaN ", "\tnan\n", "+NaN", "-NaN", "+nan", "-NAN", "nan.",
+                 "na", "nano", "inf", "", " ", "0", None, "x nan", "nan\n\n", "nan "]
+
+
+def test_nan_text_is_what_the_cast_reads_as_nan(spark, ansi):
+    found = column(spark, NAN_SPELLINGS, fn.is_nan_text)
+    cast = column(
+        spark,
+        NAN_SPELLINGS,
+        lambda c: F.when(c.isNotNull(), F.isnan(F.coalesce(c.try_cast("double"), F.lit(0.0)))),
+    )
+    assert found == cast
+
+
+@pytest.mark.parametrize(
+    "rule, expected",
+    [
+        (fn.NULL, [True, False, False, False, False]),
+        (fn.EMPTY, [True, True, False, False, False]),
+        (fn.BLANK, [True, True, True, False, False]),
+        (fn.NAN, [True, False, False, True, False]),
+        (fn.AUDIT, [True, True, False, True, False]),
+        (fn.Missing(allowed=("a",)), [True, True, True, True, False]),
+    ],
+)
+def test_missing_text(spark, ansi, rule, expected):
+    df = spark.createDataFrame(
+        [(0, None), (1, ""), (2, "  "), (3, "nan"), (4, "a")], "i int, x string"
+    )
+    rows = df.select("i", fn.is_missing(df, "x", rule).alias("y")).orderBy("i").collect()
+    assert [r.y for r in rows] == expected
+
+
+def test_missing_by_type(spark, ansi):
+    df = spark.createDataFrame(
+        [(float("nan"), date(2020, 1, 1), True, 1), (None, None, None, None), (0.0, None, False, 0)],
+        "d double, t date, b boolean, n long",
+    )
+    counts = df.agg(
+        *(F.count_if(fn.is_missing(df, c, fn.AUDIT)).alias(c) for c in df.columns)
+    ).first()
+    assert tuple(counts) == (2, 2, 1, 1)
+
+
+def test_missing_column_with_odd_name(spark):
+    df = spark.createDataFrame([("nan",), ("b",)], "`a.b c` string")
+    assert df.where(fn.is_missing(df, "a.b c")).count() == 1
+
+
+def test_nan_to_null(spark, ansi):
+    df = spark.createDataFrame([(float("nan"), "NaN"), (1.5, "x")], "d double, s string")
+    assert [tuple(r) for r in fn.nan_to_null(df, "d", "s").collect()] == [(None, None), (1.5, "x")]
+    assert [tuple(r) for r in fn.nan_to_null(df).collect()] == [(None, "NaN"), (1.5, "x")]
+
+
+def random_texts(count=600):
+    rng = random.Random(7)
+    alphabet = "abZ09_ \t\n\r\f!?.,éÉß中😀'\"-" + " ​Kİ"
+    fixed = ["", " ", "\t", "!", "!!", " !", "! ", "a", "a\tb", "a\t\tb", "Café!", "😀", "a😀b", None]
+    return fixed + [
+        "".join(rng.choice(alphabet) for _ in range(rng.randrange(14))) for _ in range(count)
+    ]
+
+
+def test_text_cleaning_in_one_pass_equals_the_two_rewrites(spark):
+    texts = random_texts()
+    two = column(
+        spark, texts, lambda c: F.lower(fn.squeeze_spaces(fn.strip_punctuation(c)))
+    )
+    assert column(spark, texts, fn.clean_text) == two
+    lengths = [None if t is None else len(t) for t in two]
+    assert column(spark, texts, fn.clean_length) == lengths
+    for least in (0, 1, 3, 5, 11):
+        assert column(spark, texts, lambda c: fn.has_clean_length(c, least)) == [
+            None if n is None else n >= least for n in lengths
+        ]
+    assert column(spark, texts, lambda c: fn.clean_length_between(c, 2, 4)) == [
+        None if n is None else 2 <= n <= 4 for n in lengths
+    ]
+    raw_words = column(spark, texts, lambda c: F.filter(fn.words(c), lambda w: w != ""))
+    assert raw_words == [None if t is None else t.split() for t in two]
+    clean_words = column(
+        spark, texts, lambda c: F.filter(fn.words(fn.clean_text(c)), lambda w: w != "")
+    )
+    assert clean_words == raw_words
+
+
+def test_clean_length_beyond_the_unit_bound(spark):
+    texts = ["a!" * 100, "a!" * 100 + "b", None]
+    assert column(spark, texts, lambda c: fn.has_clean_length(c, 201)) == [False, True, None]
+
+
+def test_normalize_label_and_show_text(spark):
+    assert column(spark, [" Positive ", "NEG"], fn.normalize_label) == ["positive", "neg"]
+    assert column(spark, ["x" * 21, "x" * 20], lambda c: fn.show_text(c, 20)) == [
+        "x" * 17 + "...", "x" * 20
+    ]
