@@ -92,6 +92,12 @@ def _score(column: str) -> str:
 SCORES = f"{_score('sentiment_polarity')}, {_score('sentiment_subjectivity')}"
 
 
+def _pct(part: str, whole: str, name: str) -> str:
+    """Percentage with two decimals in whole numbers, so that an exact half goes
+    up; the engine's ``round`` of a double sends 4.765 down."""
+    return f"((20000 * {part} + {whole}) // (2 * {whole})) / 100.0 AS {name}"
+
+
 def _audit(column: str, kind: str = "text") -> str:
     """Condition of the audit: NULL, NaN or empty text."""
     if kind == "double":
@@ -142,7 +148,7 @@ def _impute_line(column: str) -> str:
     return (
         f"SELECT '{column}' AS \"column\", {_count_not(column)} AS before, "
         f"(SELECT {_count_not(column)} FROM (SELECT {filled} FROM apps)) AS after, "
-        f"round(100.0 * {_count_not(column)} / count(*), 2) AS pct_before FROM apps"
+        f"{_pct(_count_not(column), 'count(*)', 'pct_before')} FROM apps"
     )
 
 
@@ -204,7 +210,7 @@ ORACLE: dict[str, str] = {
     # filters
     "type_missing_report": _apps(
         f"""SELECT count(*) AS rows, {_count_not('type')} AS missing,
-        round(100.0 * {_count_not('type')} / count(*), 2) AS pct FROM apps"""
+        {_pct(_count_not('type'), 'count(*)', 'pct')} FROM apps"""
     ),
     "reviews_complete": _reviews("SELECT * FROM complete", COMPLETE),
     "reviews_incomplete_sample": _reviews(
@@ -268,7 +274,7 @@ ORACLE: dict[str, str] = {
     ),
     "missing_pct": _reviews(
         _long(
-            "complete", REVIEW_KINDS, "missing", "round(100.0 * missing / total, 2) AS pct"
+            "complete", REVIEW_KINDS, "missing", _pct("missing", "total", "pct")
         ),
         COMPLETE,
     ),

@@ -60,6 +60,7 @@ def is_non_numeric(column: Column) -> Column:
 
 
 def percentage(part: Column, whole: Column) -> Column:
-    """``100 * part / whole`` with two decimals; 0 when ``whole`` is 0."""
+    """``100 * part / whole`` with two decimals, an exact half going up; 0 when
+    ``whole`` is 0."""
     share = F.round(F.try_divide(100.0 * part, whole), 2)
     return F.coalesce(share, F.lit(0.0))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrubline.functions.convert import is_non_numeric, percentage
-from scrubline.functions.missing import AUDIT, Missing, is_missing, named
+from scrubline.functions.missing import AUDIT, Missing, count_where, is_missing, named
 
 ROWS = "__rows"
 
@@ -35,7 +35,7 @@ def missing_wide(
 ) -> DataFrame:
     """One row with one missing count per column."""
     return df.agg(
-        *(F.count_if(is_missing(df, c, rule)).alias(c) for c in columns or df.columns)
+        *(count_where(is_missing(df, c, rule)).alias(c) for c in columns or df.columns)
     )
 
 
@@ -43,14 +43,14 @@ def missing_counts(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
     """One row: ``rows`` and, for each column under its own rule, ``<column>_missing``."""
     return df.agg(
         F.count("*").alias("rows"),
-        *(F.count_if(is_missing(df, c, r)).alias(f"{c}_missing") for c, r in rules.items()),
+        *(count_where(is_missing(df, c, r)).alias(f"{c}_missing") for c, r in rules.items()),
     )
 
 
 def _counted(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
     wide = df.agg(
         F.count("*").alias(ROWS),
-        *(F.count_if(is_missing(df, c, r)).alias(c) for c, r in rules.items()),
+        *(count_where(is_missing(df, c, r)).alias(c) for c, r in rules.items()),
     )
     return _unpivot(wide, rules, "missing")
 
@@ -94,8 +94,8 @@ def impute_report(df: DataFrame, model) -> DataFrame:
     )
     counts = []
     for fill in model.fills:
-        before = F.count_if(is_missing(both, fill.column, fill.missing))
-        left = F.count_if(is_missing(both, after[fill.column], fill.missing))
+        before = count_where(is_missing(both, fill.column, fill.missing))
+        left = count_where(is_missing(both, after[fill.column], fill.missing))
         counts.append(F.struct(before.alias("before"), left.alias("after")).alias(fill.column))
     wide = both.agg(F.count("*").alias(ROWS), *counts)
     return _unpivot(wide, after, "n").select(
@@ -111,7 +111,7 @@ def non_numeric_counts(df: DataFrame, columns: Iterable[str]) -> DataFrame:
     columns = list(columns)
     wide = df.agg(
         F.count("*").alias(ROWS),
-        *(F.count_if(is_non_numeric(named(c))).alias(c) for c in columns),
+        *(count_where(is_non_numeric(named(c))).alias(c) for c in columns),
     )
     return _unpivot(wide, columns, "non_numeric").select("column", "non_numeric")
 

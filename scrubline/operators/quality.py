@@ -10,7 +10,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.functions.missing import NAN, Missing, is_missing, named
+from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 
 
 @dataclass(frozen=True)
@@ -40,7 +40,7 @@ def domain_violations(df: DataFrame, domains: Mapping[str, Domain]) -> DataFrame
     """(column, violations), one row per column, from one pass."""
     wide = df.agg(
         F.count("*").alias("__rows"),
-        *(F.count_if(d.violated(df, c)).alias(c) for c, d in domains.items()),
+        *(count_where(d.violated(df, c)).alias(c) for c, d in domains.items()),
     )
     return wide.unpivot("__rows", list(domains), "column", "violations").select(
         "column", "violations"

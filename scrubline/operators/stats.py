@@ -8,7 +8,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrubline.functions.missing import NAN, NULL, Missing, is_missing, named
+from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 
 
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
@@ -139,10 +139,10 @@ def exact_quantile(
 
         v = F.col("v")
         split = part.agg(
-            F.count_if(v < left).alias("before"),
-            F.count_if(v == left).alias("on_left"),
-            F.count_if((v > left) & (v < right)).alias("between"),
-            F.count_if((v == right) & (v > left)).alias("on_right"),
+            count_where(v < left).alias("before"),
+            count_where(v == left).alias("on_left"),
+            count_where((v > left) & (v < right)).alias("between"),
+            count_where((v == right) & (v > left)).alias("on_right"),
         ).first()
         rank = target - below
         if rank <= split.before:

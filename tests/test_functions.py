@@ -62,13 +62,14 @@ def test_is_non_numeric(spark, ansi):
 
 
 def test_percentage(spark, ansi):
-    df = spark.createDataFrame([(1, 3), (0, 0)], "a long, b long")
+    df = spark.createDataFrame([(1, 3), (0, 0), (953, 20000)], "a long, b long").coalesce(1)
     shares = [r[0] for r in df.select(fn.percentage(F.col("a"), F.col("b"))).collect()]
-    assert shares == [33.33, 0.0]
+    assert shares == [33.33, 0.0, 4.77]
 
 
 NAN_SPELLINGS = ["NaN", "nan", "NAN", " NaN ", "\tnan\n", "+NaN", "-NaN", "+nan", "-NAN", "nan.",
-                 "na", "nano", "inf", "", " ", "0", None, "x nan", "nan\n\n", "nan "]
+                 "na", "nano", "inf", "", " ", "0", None, "x nan", "nan\n\n", "nan ", "N", "+", "-", ".nan", "n an", "1nan",
+                 "\x00nan", "\u00a0nan"]
 
 
 def test_nan_text_is_what_the_cast_reads_as_nan(spark, ansi):
