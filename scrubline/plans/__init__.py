@@ -21,6 +21,7 @@ from scrubline.plans.reviews import (
     top_positive_words,
     with_clean_text,
 )
+from scrubline.plans.whole import prepare
 
 __all__ = [
     "APP_DOMAINS",
@@ -37,6 +38,7 @@ __all__ = [
     "land_csv",
     "load_tables",
     "positive_texts",
+    "prepare",
     "scored",
     "top_positive_words",
     "with_clean_text",

@@ -8,10 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from scrubline import operators as ops
-from scrubline import plans
+from scrubline import plans, sources
 from scrubline.checks import QUERIES
 from scrubline.checks.inputs import apps_raw, reviews_raw
 from scrubline.functions import AUDIT, BLANK, NAN, nan_to_null
+from scrubline.plans import whole
 
 SF = {"0.001": "/root/testdata/sf0.001", "0.01": "/root/testdata/sf0.01"}
 
@@ -185,6 +186,34 @@ def test_rating_audit_before_and_after(spark):
     assert ops.missing_report(apps, "rating", NAN).first().pct == 16.5
 
 
+def test_prepare_from_csv_files(spark, tmp_path, monkeypatch):
+    """CSV files in, cleaned snapshots, loaded tables and reports out."""
+    apps = apps_raw(spark, SF["0.001"])
+    reviews = reviews_raw(spark, SF["0.001"])
+    app_csv, review_csv = str(tmp_path / "apps"), str(tmp_path / "reviews")
+    sources.write_csv(apps.drop("app_id").toDF(*sources.APP_HEADERS), app_csv)
+    sources.write_csv(reviews.drop("review_id").toDF(*sources.REVIEW_HEADERS), review_csv)
+    loaded = {}
+    monkeypatch.setattr(whole, "load_table", lambda df, t, name: loaded.update({name: df.count()}))
+    out = plans.prepare(
+        spark, app_csv, [review_csv], str(tmp_path / "out"), sources.JdbcTarget("jdbc:x")
+    )
+    # The files hold empty text as a gap, which a review must not have.
+    stored = reviews.replace("", None, ["sentiment_subjectivity"]).drop("review_id")
+    assert sorted(map(repr, out["apps"].collect())) == sorted(
+        map(repr, plans.clean_apps(apps.drop("app_id").replace("", None, ["reviews"])).collect())
+    )
+    assert sorted(map(repr, out["reviews"].collect())) == sorted(
+        map(repr, plans.clean_reviews(stored).collect())
+    )
+    assert loaded == {"apps": 200, "reviews": out["reviews"].count()}
+    assert out["positive_words"].collect() == plans.top_positive_words(stored).collect()
+    values = {r.column: r.value for r in out["app_fill_values"].collect()}
+    assert values["rating"] == "2.9" and values["type"] == "Free"
+    for name, frame in out.items():
+        assert frame.count() > 0, name
+
+
 # --- physical plans ---------------------------------------------------------------
 
 
