@@ -1,4 +1,4 @@
-"""Command line: ``spark-submit ... -m scrubline`` or ``python -m scrubline``."""
+"""Command line: ``python -m scrubline``."""
 
 from __future__ import annotations
 

@@ -24,11 +24,11 @@ def modes_row(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
     """One row with a struct (value, n) per column: its most frequent value.
 
     One shuffle counts the values of all columns together: the rows are
-    unpivoted to (column number, value) and counted before they leave their
-    task, so a value held by a third of the rows is one row per task.  The
-    counts then meet in an aggregate without keys, one row per task again.  A
-    tie goes to the smallest value, a column without values gives NULL.
-    Values travel as text; cast them back where the column is not text.
+    unpivoted to (column number, value as text) and counted before they leave
+    their task, so a value held by a third of the rows is one row per task.
+    The counts then meet in an aggregate without keys, one row per task again,
+    where values have their own type back.  A tie goes to the smallest value, a
+    column without values gives NULL.
     """
     names = list(rules)
     present = [
@@ -42,27 +42,26 @@ def modes_row(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
 
-    def best(i: int) -> Column:
-        rank = F.struct((-F.col("n")).alias("down"), F.col("value"))
-        return F.min(F.when(F.col("which") == i, rank))
-
-    return counts.agg(*(best(i).alias(c) for i, c in enumerate(names))).select(
-        *(
-            F.when(
-                named(c).isNotNull(),
-                F.struct(
-                    named(c).getField("value").alias("value"),
-                    (-named(c).getField("down")).alias("n"),
-                ),
-            ).alias(c)
-            for c in names
-        )
-    )
+    def best(i: int, name: str) -> Column:
+        value = F.col("value").try_cast(df.schema[name].dataType)
+        rank = F.struct((-F.col("n")).alias("down"), value.alias("value"))
+        return F.min(F.when(F.col("which") == i, rank)).alias(name)
+
+    def shown(name: str) -> Column:
+        value, n = named(name).getField("value"), -named(name).getField("down")
+        mode = F.struct(value.alias("value"), n.alias("n"))
+        return F.when(named(name).isNotNull(), mode).alias(name)
+
+    row = counts.agg(*(best(i, c) for i, c in enumerate(names)))
+    return row.select(*(shown(c) for c in names))
 
 
 def column_modes(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
-    """(column, mode, n), one row per column in ``rules``."""
-    wide = modes_row(df, rules).withColumn("__one", F.lit(1))
+    """(column, mode as text, n), one row per column in ``rules``."""
+    as_text = "struct<value:string,n:bigint>"
+    wide = modes_row(df, rules).select(
+        F.lit(1).alias("__one"), *(named(c).cast(as_text).alias(c) for c in rules)
+    )
     return wide.unpivot("__one", list(rules), "column", "best").select(
         "column", F.col("best.value").alias("mode"), F.col("best.n").alias("n")
     )

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,6 +191,19 @@ def test_typed_modes_come_back_typed(spark):
     assert sorted(r.n for r in filled.collect()) == [1, 1, 1, 2]
 
 
+def test_numeric_ties_go_to_the_smallest_number(spark, ansi):
+    df = spark.createDataFrame(
+        [(10, 2.5, date(2020, 1, 1)), (9, 10.0, date(2019, 1, 1)), (None, None, None)],
+        "n long, d double, t date",
+    )
+    model = ops.fit_modes(df, {"n": NULL, "d": NAN, "t": NULL})
+    assert [f.value for f in model.fills] == [9, 2.5, date(2019, 1, 1)]
+    assert model.transform(df).dtypes == df.dtypes
+    assert tuples(ops.column_modes(df, {"n": NULL, "t": NULL})) == [
+        ("n", "9", 1), ("t", "2019-01-01", 1)
+    ]
+
+
 def test_modes_only_where_missing(small):
     model = ops.fit_modes_where_missing(small, ["id", "label", "note"], AUDIT)
     assert [f.column for f in model.fills] == ["label", "note"]
