@@ -76,8 +76,7 @@ MEDIAN = f"(SELECT quantile_disc(rating, 0.5) FROM apps WHERE {PRESENT['rating']
 RATING_FILLED = f"CASE WHEN {PRESENT['rating']} THEN rating ELSE {MEDIAN} END AS rating"
 PLAIN_RATING = f"CASE WHEN {PRESENT['rating']} THEN rating END AS rating"
 
-TO_INT = "TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT) AS {0}"
-TO_BIGINT = "CAST(TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT) AS BIGINT) AS {0}"
+TO_INT = "CAST(TRY_CAST(regexp_replace({0}, '[^0-9]', '', 'g') AS INT) AS DOUBLE) AS {0}"
 TO_PRICE = """TRY_CAST(replace(regexp_replace(price, '[^0-9.,]', '', 'g'), ',', '.')
     AS DOUBLE) AS price"""
 TO_DATE = "CAST(CAST(try_strptime(last_updated, '%B %-d, %Y') AS DATE) AS VARCHAR)"
@@ -318,8 +317,8 @@ ORACLE: dict[str, str] = {
     "type_domain_imputed": _apps(f"SELECT app_id, {_filled('type', IN_DOMAIN)} FROM apps"),
     "all_columns_imputed": _apps(f"SELECT {_imputed_anywhere()} FROM apps"),
     # conversions
-    "reviews_to_int": _apps(f"SELECT app_id, {TO_BIGINT.format('reviews')} FROM apps"),
-    "installs_to_int": _apps(f"SELECT app_id, {TO_BIGINT.format('installs')} FROM apps"),
+    "reviews_to_int": _apps(f"SELECT app_id, {TO_INT.format('reviews')} FROM apps"),
+    "installs_to_int": _apps(f"SELECT app_id, {TO_INT.format('installs')} FROM apps"),
     "price_to_double": _apps(f"SELECT app_id, {TO_PRICE} FROM apps"),
     "last_updated_to_date": _apps(
         f"SELECT app_id, last_updated, {TO_DATE} AS last_updated_date FROM apps"

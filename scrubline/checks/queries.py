@@ -295,13 +295,13 @@ def all_columns_imputed(spark, sf_dir):
 
 @_register
 def reviews_to_int(spark, sf_dir):
-    value = fn.digits_to_integer(F.col("reviews")).cast("bigint")
+    value = fn.digits_to_integer(F.col("reviews")).cast("double")
     return apps_raw(spark, sf_dir).select("app_id", value.alias("reviews"))
 
 
 @_register
 def installs_to_int(spark, sf_dir):
-    value = fn.digits_to_integer(F.col("installs")).cast("bigint")
+    value = fn.digits_to_integer(F.col("installs")).cast("double")
     return apps_raw(spark, sf_dir).select("app_id", value.alias("installs"))
 
 
@@ -335,8 +335,14 @@ def reviews_clean(spark, sf_dir):
 
 
 def _shown_apps(df: DataFrame) -> DataFrame:
-    """Dates as text, for comparison."""
-    return df.withColumn("last_updated_date", F.col("last_updated_date").cast("string"))
+    """Counts with gaps as double and dates as text, for comparison."""
+    return df.withColumns(
+        {
+            "reviews": F.col("reviews").cast("double"),
+            "installs": F.col("installs").cast("double"),
+            "last_updated_date": F.col("last_updated_date").cast("string"),
+        }
+    )
 
 
 @_register
