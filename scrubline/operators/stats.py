@@ -108,55 +108,34 @@ def exact_quantile(
     of at most ``small`` rows is sorted.  The result does not depend on the
     quality of the sketch, only the number of passes does.
     """
-    values = _values(df, column)
-    below, rows, low, high = 0, None, None, None
-    target = None
-    while True:
-        part = values
-        if low is not None:
-            part = part.where(F.col("v") > low)
-        if high is not None:
-            part = part.where(F.col("v") < high)
-        if rows is not None and rows <= small:
-            skip = target - below - 1
-            return part.orderBy("v").offset(skip).limit(1).first()[0]
-
-        share = q if target is None else (target - below) / rows
+    v, part = F.col("v"), _values(df, column)
+    rows = part.count()
+    if rows == 0:
+        return None
+    rank = max(1, math.ceil(q * rows))
+    while rows > small:
         reach = 2 / accuracy
-        ends = [max(0.0, share - reach), min(1.0, share + reach)]
-        sketch = part.agg(
-            F.count("*").alias("n"), F.percentile_approx("v", ends, accuracy).alias("ends")
-        ).first()
-        if target is None:
-            if sketch.n == 0:
-                return None
-            rows = sketch.n
-            target = max(1, math.ceil(q * rows))
-            if rows <= small:
-                continue
-        left, right = sketch.ends
-
-        v = F.col("v")
-        split = part.agg(
+        shares = [max(0.0, rank / rows - reach), min(1.0, rank / rows + reach)]
+        left, right = part.agg(F.percentile_approx("v", shares, accuracy)).first()[0]
+        n = part.agg(
             count_where(v < left).alias("before"),
-            count_where(v == left).alias("on_left"),
+            count_where(v == left).alias("left"),
             count_where((v > left) & (v < right)).alias("between"),
-            count_where((v == right) & (v > left)).alias("on_right"),
+            count_where((v == right) & (v > left)).alias("right"),
         ).first()
-        rank = target - below
-        if rank <= split.before:
-            high, rows = left, split.before
+        if rank <= n.before:
+            part, rows = part.where(v < left), n.before
             continue
-        rank -= split.before
-        if rank <= split.on_left:
+        rank -= n.before
+        if rank <= n.left:
             return left
-        rank -= split.on_left
-        if rank <= split.between:
-            below += split.before + split.on_left
-            low, high, rows = left, right, split.between
+        rank -= n.left
+        if rank <= n.between:
+            part, rows = part.where((v > left) & (v < right)), n.between
             continue
-        rank -= split.between
-        if rank <= split.on_right:
+        rank -= n.between
+        if rank <= n.right:
             return right
-        inside = split.before + split.on_left + split.between + split.on_right
-        below, low, rows = below + inside, right, rows - inside
+        rank -= n.right
+        part, rows = part.where(v > right), rows - sum(n)
+    return part.orderBy("v").offset(rank - 1).limit(1).first()[0]
