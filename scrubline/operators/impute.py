@@ -13,8 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.functions.missing import NAN, NULL, Missing, is_missing, named
-from scrubline.operators.audit import missing_wide
+from scrubline.functions.missing import NAN, Missing, is_missing, named
+from scrubline.operators.audit import missing_counts
 from scrubline.operators.stats import (
     approximate_quantile,
     column_mean,
@@ -96,13 +96,11 @@ def fit_modes(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
     )
 
 
-def fit_modes_where_missing(
-    df: DataFrame, columns: list[str], rule: Missing = NULL
-) -> ImputeModel:
-    """Modes of those ``columns`` that have anything to fill.
+def fit_modes_where_missing(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
+    """Modes of those columns in ``rules`` that have anything to fill.
 
     A counting pass comes first.  It needs no shuffle, while the mode of a
     nearly unique column shuffles all of it.
     """
-    gaps = missing_wide(df, columns, rule).first()
-    return fit_modes(df, {c: rule for c in columns if gaps[c]})
+    gaps = missing_counts(df, rules).first()
+    return fit_modes(df, {c: r for c, r in rules.items() if gaps[f"{c}_missing"]})

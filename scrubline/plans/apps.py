@@ -97,10 +97,7 @@ def impute_all(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     ``type`` too.
     """
     typed = typed_rating(df)
-    rest = [c for c in df.columns if c not in ("rating", "type", *keys)]
-    model = (
-        fit_median(typed, "rating")
-        + fit_modes(typed, {"type": BLANK})
-        + fit_modes_where_missing(typed, rest, AUDIT)
-    )
+    rest = [c for c in df.columns if c not in ("rating", *keys)]
+    rules = {c: BLANK if c == "type" else AUDIT for c in rest}
+    model = fit_median(typed, "rating") + fit_modes_where_missing(typed, rules)
     return model.transform(typed)

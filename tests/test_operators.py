@@ -205,10 +205,10 @@ def test_numeric_ties_go_to_the_smallest_number(spark, ansi):
 
 
 def test_modes_only_where_missing(small):
-    model = ops.fit_modes_where_missing(small, ["id", "label", "note"], AUDIT)
+    model = ops.fit_modes_where_missing(small, {"id": AUDIT, "label": NULL, "note": BLANK})
     assert [f.column for f in model.fills] == ["label", "note"]
     full = small.where("id = 1")
-    assert ops.fit_modes_where_missing(full, ["id", "label"], AUDIT).fills == ()
+    assert ops.fit_modes_where_missing(full, {"id": AUDIT, "label": AUDIT}).fills == ()
     assert tuples(ops.ImputeModel().transform(full)) == tuples(full)
 
 
