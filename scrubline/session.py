@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -40,16 +41,16 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A folder that every executor reaches, below ``spark.checkpoint.dir``.
+    """A fresh folder that every executor reaches, another one for each call.
 
-    A folder of this machine stands in for an unset setting on a local master
-    only; a cluster without the setting is an error.  The application id keeps
-    parallel applications apart, and a rerun in one application overwrites.
+    It lies below ``spark.checkpoint.dir``, or below the folder given to
+    ``SparkContext.setCheckpointDir``.  Where neither is set, a local master
+    (one machine, so every folder is shared) sets its own; a cluster is an error.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="scrubline-")
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{root.rstrip('/')}/scrubline/{app}/{name}"
+        root = f"{tempfile.gettempdir()}/scrubline-shared"
+        spark.conf.set("spark.checkpoint.dir", root)
+    return f"{root.rstrip('/')}/scrubline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
