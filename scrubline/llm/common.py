@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +37,13 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 def source_key(source: Column) -> Column:
     """A non-null key in code point order with the null source last."""
     return F.coalesce(F.concat(F.lit("a"), source), F.lit("b"))
+
+
+def worker_cache() -> dict:
+    """A dictionary that lives as long as the Python process.
+
+    Functions that are sent by value bring their own module variables to every
+    task, so what a worker loads once has to be kept elsewhere.
+    """
+    name = "_scrubline_llm_cache"
+    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})

@@ -33,20 +33,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, worker_cache
 
 CAPACITY, END = 1024, 2
 # Above U+024F, and among control signs, the two libraries might split differently.
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ–—‘-„…€]|<\\|endoftext\\|>")
-_LOADED: dict = {}
 
 
 def encoder(vocabulary: str, ranks: str | None, pattern: str | None):
     """``text -> ids`` (unsigned 32 bits); loaded once per worker."""
     from tokenizers import Tokenizer
 
-    key = (vocabulary, ranks)
-    if key not in _LOADED:
+    key, cache = (vocabulary, ranks), worker_cache()
+    if key not in cache:
         exact, fast = Tokenizer.from_file(vocabulary), None
         if ranks:
             import tiktoken
@@ -54,8 +53,8 @@ def encoder(vocabulary: str, ranks: str | None, pattern: str | None):
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        _LOADED[key] = exact, fast
-    exact, fast = _LOADED[key]
+        cache[key] = exact, fast
+    exact, fast = cache[key]
 
     def encode(text: str) -> np.ndarray:
         if fast is None or UNUSUAL.search(text):
