@@ -34,16 +34,16 @@ def lower_case_words(text: bytes) -> np.ndarray:
 
 
 def text_chunks(
-    texts: Iterable[bytes | None], words: Callable[[bytes], np.ndarray] = lower_case_words
+    texts: Iterable[bytes | None], words: Callable[[bytes], np.ndarray] = lower_case_words, size: int = CHUNK_BYTES
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """``(keys, ends)`` for runs of texts of a few megabytes: the keys of the words
+    """``(keys, ends)`` for runs of texts of about ``size`` bytes: the keys of the words
     of each text followed by ``END``, and where each text ends."""
     keys: list[np.ndarray] = []
     held = 0
     for text in texts:
         keys.append(np.append(words(text or b""), END))
         held += len(text or b"")
-        if held >= CHUNK_BYTES:
+        if held >= size:
             yield np.concatenate(keys), np.cumsum([len(k) for k in keys])
             keys, held = [], 0
     if keys:

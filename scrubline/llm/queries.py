@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, mixing, packing, quality, simhash
+from . import exact, lm_bloom, mixing, neighbours, packing, quality, simhash
 
 SOURCE_WEIGHTS = [1.0, 2.0, 3.0]
 
@@ -36,10 +36,20 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_rotated_codes_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_bloom_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", lm_bloom.held_out(F.col("doc_id")))
+    return lm_bloom.score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -47,6 +57,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_quality_classifier,
         op3_source_mix,
         op4_best_fit_packing,
+        op7_rotated_codes_search,
         op8_exact_dedup,
+        op10_bloom_lm_scores,
     )
 }
