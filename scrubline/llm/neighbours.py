@@ -1,11 +1,12 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-A unit vector is rotated at random and kept as the signs of its components, one
-bit each, with one correction scalar: the inner product of the rotated vector and
-its own code.  The inner product of a query with the code, divided by that scalar,
-estimates the cosine, and the scalar also gives the width of its error bound.  In a
-block of candidates, the k-th best lower bound says which candidates can still be
-among the best k; these are ranked by their exact cosines on the original vectors.
+A unit vector is padded with zeros to ``WIDEN`` times its length, rotated at random
+and kept as the signs of its components, one bit each, with one correction scalar:
+the inner product of the rotated vector and its own code.  The inner product of a
+query with the code, divided by that scalar, estimates the cosine, and the scalar
+also gives the width of its error bound.  In a block of candidates, the exact
+cosines of the best few estimates say what a candidate has to reach; all whose upper
+bounds do are ranked by their exact cosines on the original vectors.
 
 Queries and candidates meet in blocks: every block of queries with every block of
 candidates, each pair in one task, which returns at most k rows per query.  Blocks
@@ -29,16 +30,16 @@ from pyspark.sql import functions as F
 
 from .common import stage, worker_cache
 
-SEED, BOUND = 7, 3.0
+SEED, BOUND, WIDEN = 7, 3.0, 4
 CANDIDATES, QUERIES, PART = 8192, 2048, 256
 
 
 def rotation(size: int) -> np.ndarray:
-    """A random orthogonal matrix, the same everywhere."""
+    """The first ``size`` rows of a random orthogonal matrix, the same everywhere."""
     cache = worker_cache()
     if ("rotation", size) not in cache:
-        q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size, size)))
-        cache["rotation", size] = q * np.sign(np.diag(r))
+        q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size * WIDEN, size)))
+        cache["rotation", size] = (q * np.sign(np.diag(r))).T
     return cache["rotation", size]
 
 
@@ -49,17 +50,17 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Packed sign bits of the rotated unit vectors, and the correction scalars."""
     rotated = _unit(vectors) @ rotation(vectors.shape[1])
-    return np.packbits(rotated > 0, axis=1), np.abs(rotated).sum(axis=1) / np.sqrt(vectors.shape[1])
+    return np.packbits(rotated > 0, axis=1), np.abs(rotated).sum(axis=1) / np.sqrt(rotated.shape[1])
 
 
 def estimate(queries: np.ndarray, codes: np.ndarray, scalars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated cosines of queries and coded vectors, and the width of the error bound
     of each coded vector."""
-    size = queries.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=size).astype(np.float32) * 2 - 1
-    rotated = (_unit(queries) @ rotation(size)).astype(np.float32)
-    cosines = rotated @ signs.T / (np.sqrt(size) * scalars).astype(np.float32)
-    width = BOUND * np.sqrt(np.maximum(0, 1 - scalars**2)) / scalars / np.sqrt(max(1, size - 1))
+    rotated = (_unit(queries) @ rotation(queries.shape[1])).astype(np.float32)
+    bits = rotated.shape[1]
+    signs = np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1
+    cosines = rotated @ signs.T / (np.sqrt(bits) * scalars).astype(np.float32)
+    width = BOUND * np.sqrt(np.maximum(0, 1 - scalars**2)) / scalars / np.sqrt(max(1, bits - 1))
     return cosines, width.astype(np.float32) + np.float32(1e-5)
 
 
@@ -78,10 +79,12 @@ def best_of_block(
         cosines, width = estimate(part, codes, scalars)
         own = part_ids[:, None] == ids[None, :]
         cosines[own] = -np.inf
-        lower = cosines - width
-        rank = min(k, len(ids))
-        floor = -np.partition(-lower, rank - 1, axis=1)[:, rank - 1 : rank]
-        q, c = np.nonzero((cosines + width >= floor) & ~own)
+        few = min(4 * k, len(ids))
+        first = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
+        reached = exact_cosines(np.repeat(part, few, axis=0), vectors[first.ravel()]).reshape(-1, few)
+        reached[np.take_along_axis(own, first, axis=1)] = -np.inf
+        floor = -np.sort(-reached, axis=1)[:, min(k, few) - 1 : min(k, few)]
+        q, c = np.nonzero((cosines + width >= floor - 1e-6) & ~own)
         score = np.concatenate(
             [exact_cosines(part[q[i : i + 65536]], vectors[c[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)]
         )
