@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from .common import stage, worker_cache
 from .ngrams import START, Lookup, before, mix, per_text, text_chunks
 
-BASE, HASHES, SEGMENT_BITS, MASS = 1.5, 8, 12, 20.0
+BASE, HASHES, SEGMENT_BITS, MASS = 1.5, 8, 12, 500.0
 BROADCAST_MB = 512
 COUNT_BYTES = 16 << 20
 SEGMENTS = 1 << SEGMENT_BITS
@@ -83,48 +83,46 @@ def is_bigram() -> Column:
     return F.col("key").bitwiseAND(F.lit(1)) == 1
 
 
-def _positions(keys: np.ndarray, level: int, i: int, bits: int) -> np.ndarray:
-    """Bit ``i`` of ``level`` of each key within a segment of ``bits`` bits."""
+def _positions(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
+    """The bits of ``level`` of each key within a segment of ``bits`` bits, one after another."""
     x = (keys + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(31))) * np.uint64(0x94D049BB133111EB)
-    step = (x >> np.uint64(32)) | _ONE
-    return ((x & np.uint64(0xFFFFFFFF)) + np.uint64(i) * step) % np.uint64(bits)
+    low, half, size = np.uint64(0xFFFFFFFF), np.uint64(32), np.uint64(bits)
+    at, step = x & low, (x >> half) | _ONE
+    for _ in range(HASHES):
+        yield at * size >> half
+        at = (at + step) & low
 
 
 def filter_segments(counts: DataFrame, bits: int) -> np.ndarray:
     """The filter: a row of ``bits / 8`` bytes per segment.  Its size was checked before."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own: dict[int, np.ndarray] = {}
-        for batch in batches:
-            segment = batch.column("segment").to_numpy()
-            keys = batch.column("key").to_numpy().view(np.uint64)
-            levels = np.searchsorted(LEVELS, batch.column("n").to_numpy(), side="right")
-            order = np.argsort(segment, kind="stable")
-            segment, keys, levels = segment[order], keys[order], levels[order]
-            first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1])) if len(segment) else []
-            for low, high in zip(first, np.append(first[1:], len(segment))):
-                cells = own.setdefault(int(segment[low]), np.zeros(bits, bool))
-                k, top = keys[low:high], levels[low:high]
-                for level in range(1, int(top.max()) + 1):
-                    k, top = k[top >= level], top[top >= level]
-                    for i in range(HASHES):
-                        cells[_positions(k, level, i, bits)] = True
-            if len(own) >= 256:
-                yield from _packed(own)
-                own = {}
-        yield from _packed(own)
-
-    def _packed(own: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
-        if own:
-            packed = [np.packbits(c, bitorder="little").tobytes() for c in own.values()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(own), pa.int32()), pa.array(packed)], names=["segment", "bits"])
+        held = list(batches)  # of one task
+        if not held:
+            return
+        segment, keys, n = (
+            np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("segment", "key", "n")
+        )
+        order = np.argsort(segment, kind="stable")
+        segment, keys = segment[order], keys[order].view(np.uint64)
+        levels = np.searchsorted(LEVELS, n[order], side="right")
+        first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
+        for low, high in zip(first, np.append(first[1:], len(segment))):
+            cells = np.zeros(bits, bool)
+            k, top = keys[low:high], levels[low:high]
+            for level in range(1, int(top.max()) + 1):
+                k, top = k[top >= level], top[top >= level]
+                for at in _positions(k, level, bits):
+                    cells[at] = True
+            packed = np.packbits(cells, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array(segment[low : low + 1]), pa.array([packed])], names=["segment", "bits"])
 
     table = np.zeros((SEGMENTS, bits // 8), np.uint8)
     grams = counts.filter(is_bigram()).select("segment", "key", "n")
-    # part by part, so that the driver holds the filter once
-    for row in grams.mapInArrow(run, "segment int, bits binary").toLocalIterator():
-        table[row["segment"]] |= np.frombuffer(row["bits"], np.uint8)
+    found = grams.mapInArrow(run, "segment int, bits binary").toArrow()
+    for segment, part in zip(found["segment"].to_pylist(), found["bits"]):
+        table[segment] |= np.frombuffer(part.as_buffer(), np.uint8)
     return table
 
 
@@ -135,11 +133,12 @@ def probe(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     level = np.zeros(len(keys), np.int64)
     left = np.arange(len(keys))
     for now in range(1, len(LEVELS) + 1):
-        for i in range(HASHES):
-            k = keys[left]
-            at = _positions(k, now, i, bits)
-            byte = (k >> np.uint64(64 - SEGMENT_BITS)) * np.uint64(bits // 8) + (at >> np.uint64(3))
-            left = left[(flat[byte] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        base = (keys[left] >> np.uint64(64 - SEGMENT_BITS)) * np.uint64(bits // 8)
+        x, hit = keys[left], np.arange(len(left))
+        for at in _positions(x, now, bits):
+            at = at[hit]
+            hit = hit[(flat[base[hit] + (at >> np.uint64(3))] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        left = left[hit]
         if not len(left):
             break
         level[left] = now
@@ -153,7 +152,9 @@ def _score_chunk(model: dict, keys: np.ndarray, ends: np.ndarray) -> list[np.nda
     context[1:] = c[:-1]
     context[starts] = model["documents"]
     p1 = (c + 1) / (model["total"] + model["distinct"] + 1)
-    q = probe(model["filter"], bigram_keys(before(keys, ends), keys))
+    # frequent bigrams have many levels and many places, so each is probed once
+    grams, place = np.unique(bigram_keys(before(keys, ends), keys), return_inverse=True)
+    q = probe(model["filter"], grams)[place]
     # q <= c holds but for the filter's errors
     q = np.minimum(q, np.minimum(c, context))
     p = (q + MASS * p1) / (context + MASS)
@@ -238,23 +239,21 @@ def score(
     rows to learn; scores are log10 probabilities of whole texts."""
     train = docs.filter(training)
     counts = stage(count_grams(train.select(F.col(text_col).alias("text"))), "counts")
-    bigram = is_bigram()
-    level = F.aggregate(F.array(*map(F.lit, LEVELS)), F.lit(0), lambda n, least: n + (least <= F.col("n")).cast("int"))
-    sizes = counts.agg(
-        F.sum(F.when(bigram, level)).alias("levels"),
-        F.sum(F.when(~bigram, F.col("n"))).alias("total"),
-        F.count_if(~bigram).alias("distinct"),
-    ).first()
-    total, distinct = sizes["total"] or 0, sizes["distinct"]
+    # as many rows as there are different counts, each of which takes as many words to make
+    sizes = counts.groupBy(is_bigram().alias("bigram"), "n").count().toPandas()
+    own = sizes[~sizes["bigram"].astype(bool)]
+    total, distinct = int((own["n"] * own["count"]).sum()), int(own["count"].sum())
+    grams = sizes[sizes["bigram"].astype(bool)]
+    levels = int((np.searchsorted(LEVELS, grams["n"].to_numpy(np.int64), side="right") * grams["count"]).sum())
     documents = train.count()
     # eight hash bits a level at half of the bits set
-    bits = 8 * ceil((sizes["levels"] or 0) * HASHES / log(2) / SEGMENTS / 8 + 8)
+    bits = 8 * ceil(levels * HASHES / log(2) / SEGMENTS / 8 + 8)
     rows = docs.select(
         F.struct(*kept, F.monotonically_increasing_id().alias("_at")).alias("row"),
         F.col(text_col).cast("binary").alias("text"),
     )
     if (SEGMENTS * bits / 8 + 16 * distinct) / 1e6 <= broadcast_mb:
-        known = counts.filter(~bigram).select("key", "n").toArrow()
+        known = counts.filter(~is_bigram()).select("key", "n").toArrow()
         tokens = known["key"].to_numpy().astype(np.int64).view(np.uint64), known["n"].to_numpy().astype(np.int64)
         model = {
             "tokens": tokens,
