@@ -66,8 +66,8 @@ TEMPLATES = {
 
 def plain_words(text: Column) -> Column:
     """Lower-case words of ASCII letters and digits."""
-    plain = F.lower(F.trim(F.regexp_replace(text_or_empty(text), "[^A-Za-z0-9]+", " ")))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    plain = F.lower(F.regexp_replace(text_or_empty(text), "[^A-Za-z0-9]+", " "))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def _bigrams(word: Column) -> Column:
@@ -94,8 +94,9 @@ def licence_matches(
 
     rows = docs.select(F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("at"), F.col(text_col).alias("text"))
     lines = F.split(text_or_empty(F.col("text")), "\n")
-    units = rows.select("id", "at", F.posexplode(F.concat(F.array("text"), lines)).alias("line", "unit"))
-    word = units.withColumn("w", plain_words(F.col("unit"))).withColumn("n", F.size("w") - 1)
+    # the generator makes the words of each unit once; a filter on them would repeat it
+    parts = F.transform(F.concat(F.array(text_or_empty(F.col("text"))), lines), plain_words)
+    word = rows.select("id", "at", F.posexplode(parts).alias("line", "w")).withColumn("n", F.size("w") - 1)
     near = F.lit(False)
     for m in sizes:
         near = near | ((F.col("n") * ratio >= m) & (F.col("n") <= m * ratio))
