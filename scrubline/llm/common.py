@@ -39,11 +39,16 @@ def source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("a"), source), F.lit("b"))
 
 
-def worker_cache() -> dict:
-    """A dictionary that lives as long as the Python process.
+def worker_value(key: object, make):
+    """``make()``, kept for as long as this Python process asks for the same ``key``.
 
     Functions that are sent by value bring their own module variables to every
-    task, so what a worker loads once has to be kept elsewhere.
+    task, so what a worker loads once is kept in a module of its own.  Only the
+    last value is kept: a worker that serves several operators holds one model.
     """
-    name = "_scrubline_llm_cache"
-    return sys.modules.setdefault(name, types.ModuleType(name)).__dict__.setdefault("held", {})
+    name = "_scrubline_llm_worker"
+    held = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
+    if held.get("key") != key:
+        held.update(key=None, value=None)
+        held.update(key=key, value=make())
+    return held["value"]

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, worker_cache
+from .common import stage, worker_value
 from .ngrams import START, Lookup, before, mix, per_text, text_chunks
 
 BASE, HASHES, SEGMENT_BITS, MASS = 1.5, 8, 12, 500.0
@@ -166,12 +166,7 @@ def _score_with_filter(rows: DataFrame, model: dict) -> DataFrame:
     name, sent = uuid.uuid4().hex, rows.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = worker_cache()
-        if cache.get("bloom", (None,))[0] != name:
-            held = dict(sent.value)
-            held["tokens"] = Lookup(*held["tokens"])
-            cache["bloom"] = name, held
-        held = cache["bloom"][1]
+        held = worker_value(("bloom", name), lambda: sent.value | {"tokens": Lookup(*sent.value["tokens"])})
         for batch in batches:
             low = 0
             for keys, ends in text_chunks(t.as_py() for t in batch.column("text")):

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, worker_cache
+from .common import stage, worker_value
 
 SEED, BOUND, WIDEN = 7, 3.0, 4
 CANDIDATES, QUERIES, PART = 8192, 2048, 256
@@ -36,11 +36,12 @@ CANDIDATES, QUERIES, PART = 8192, 2048, 256
 
 def rotation(size: int) -> np.ndarray:
     """The first ``size`` rows of a random orthogonal matrix, the same everywhere."""
-    cache = worker_cache()
-    if ("rotation", size) not in cache:
+
+    def make() -> np.ndarray:
         q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size * WIDEN, size)))
-        cache["rotation", size] = (q * np.sign(np.diag(r))).T
-    return cache["rotation", size]
+        return (q * np.sign(np.diag(r))).T
+
+    return worker_value(("rotation", size), make)
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:

@@ -33,28 +33,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, worker_cache
+from .common import stage, worker_value
 
 CAPACITY, END = 1024, 2
 # Above U+024F, and among control signs, the two libraries might split differently.
 UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-ɏ–—‘-„…€]|<\\|endoftext\\|>")
 
 
-def encoder(vocabulary: str, ranks: str | None, pattern: str | None):
-    """``text -> ids`` (unsigned 32 bits); loaded once per worker."""
+def load(vocabulary: str, ranks: str | None, pattern: str | None):
+    """The tokenizer, and the faster form of the same vocabulary if there is one."""
     from tokenizers import Tokenizer
 
-    key, cache = (vocabulary, ranks), worker_cache()
-    if key not in cache:
-        exact, fast = Tokenizer.from_file(vocabulary), None
-        if ranks:
-            import tiktoken
-
-            with open(ranks, "rb") as lines:
-                table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
-        cache[key] = exact, fast
-    exact, fast = cache[key]
+    exact, fast = Tokenizer.from_file(vocabulary), None
+    if ranks:
+        import tiktoken
+
+        with open(ranks, "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={})
+    return exact, fast
+
+
+def encoder(vocabulary: str, ranks: str | None, pattern: str | None):
+    """``text -> ids`` (unsigned 32 bits); loaded once per worker."""
+    exact, fast = worker_value(("encoder", vocabulary, ranks), lambda: load(vocabulary, ranks, pattern))
 
     def encode(text: str) -> np.ndarray:
         if fast is None or UNUSUAL.search(text):

@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import worker_cache
-from .packing import tokenizer_files
+from .common import worker_value
+from .packing import UNUSUAL, load, tokenizer_files
 
-LEAF, AHEAD, WORDS_HELD = 32, 4, 1 << 20
+LEAF, AHEAD, WORDS_HELD = 32, 4, 1 << 19
 EDITS = "array<struct<start:int,length:int,replacement:string>>"
 
 
@@ -38,36 +38,30 @@ class Splitter:
 
     def __init__(self, vocabulary: str, ranks: str | None, pattern: str):
         import regex
-        from tokenizers import Tokenizer
 
         self.find = regex.compile(pattern)
-        self.encoder = Tokenizer.from_file(vocabulary)
-        self.encoder.encode_special_tokens = True
+        self.exact, self.fast = load(vocabulary, ranks, pattern)
+        self.exact.encode_special_tokens = True
         self.known: dict[str, int] = {}
 
+    def count(self, part: str) -> int:
+        if self.fast is None or UNUSUAL.search(part):
+            return len(self.exact.encode(part, add_special_tokens=False).ids)
+        return len(self.fast.encode_ordinary(part))
+
     def counts(self, parts: list[str]) -> list[int]:
         known = self.known
-        try:
-            return [known[p] for p in parts]
-        except KeyError:
-            new = list({p for p in parts if p not in known})
-            if len(known) > WORDS_HELD:
-                known.clear()
-                new = list(set(parts))
-            encoded = self.encoder.encode_batch_fast(new, add_special_tokens=False)
-            known.update((p, len(e.ids)) for p, e in zip(new, encoded))
-            return [known[p] for p in parts]
+        if len(known) > WORDS_HELD:
+            known.clear()
+        known.update((p, self.count(p)) for p in set(parts).difference(known))
+        return [known[p] for p in parts]
 
     def split(self, text: str) -> list[str]:
         return self.find.findall(text)
 
 
 def splitter(tokenizer: dict) -> Splitter:
-    cache = worker_cache()
-    key = ("splitter", tokenizer["vocabulary"])
-    if key not in cache:
-        cache[key] = Splitter(**tokenizer)
-    return cache[key]
+    return worker_value(("splitter", tokenizer["vocabulary"]), lambda: Splitter(**tokenizer))
 
 
 def heap(leaves: np.ndarray) -> np.ndarray:
