@@ -226,12 +226,14 @@ def mixed_documents(
         .groupBy("at", "time")
         .agg(F.array_sort(F.collect_list(F.struct("first", "words"))).alias("spans"))
     )
-    part = F.transform("spans", lambda s: F.slice(F.col("w"), (s["first"] + 1).cast("int"), s["words"].cast("int")))
-    new = (
-        rows.join(spans, "at")
-        .withColumn("w", words(F.col(f"row.`{text_col}`")))
-        .select("row", F.array_join(F.flatten(part), " ").alias("new"))
-    )
+
+    def taken(w: Column) -> Column:
+        cut = F.transform("spans", lambda s: F.slice(w, (s["first"] + 1).cast("int"), s["words"].cast("int")))
+        return F.array_join(F.flatten(cut), " ")
+
+    # the words are an element of an array, so that they are split once and not for each span
+    split = F.array(words(F.col(f"row.`{text_col}`")))
+    new = rows.join(spans, "at").select("row", F.element_at(F.transform(split, taken), 1).alias("new"))
     changed = {text_col: F.col("new")}
     if length_col in docs.columns:
         changed[length_col] = F.length("new").cast(docs.schema[length_col].dataType)
