@@ -92,18 +92,34 @@ def test_persisted_is_released(spark):
 
 def test_shared_folder(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
-    folder = shared_folder(spark, "x")
-    assert folder.endswith("/x")
+    folder, other = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert "/x-" in folder and folder != other
     assert root is None or folder.startswith(root)
 
 
+def test_results_of_two_round_trips_stay_readable(spark):
+    """Each call writes a folder of its own."""
+    from scrubline.checks import QUERIES
+
+    for name in ("csv_roundtrip", "parquet_roundtrip"):
+        first, second = (QUERIES[name](spark, "/root/testdata/sf0.001") for _ in range(2))
+        assert first.count() == second.count() > 0
+
+
 def test_a_cluster_needs_the_setting():
     class Conf:
         def get(self, key, default=None):
-            return {"spark.master": "spark://host:7077"}.get(key, default)
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
 
     class Session:
         conf = Conf()
+        sparkContext = Context()
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_folder(Session(), "x")
