@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 
@@ -20,31 +23,41 @@ def value_distribution(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _slot_type(dtype: T.DataType) -> T.DataType:
+    return T.StringType() if isinstance(dtype, (T.CharType, T.VarcharType)) else dtype
+
+
 def modes_row(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
     """One row with a struct (value, n) per column: its most frequent value.
 
     One shuffle counts the values of all columns together: the rows are
-    unpivoted to (column number, value as text) and counted before they leave
-    their task, so a value held by a third of the rows is one row per task.
-    The counts then meet in an aggregate without keys, one row per task again,
-    where values have their own type back.  A tie goes to the smallest value, a
-    column without values gives NULL.
+    unpivoted to (column number, value) with one slot per data type, so that
+    values are equal as their own type has it (zeros of either sign, instants),
+    and counted before they leave their task, so a value held by a third of the
+    rows is one row per task.  The counts then meet in an aggregate without
+    keys, one row per task again.  A tie goes to the smallest value, a column
+    without values gives NULL.
     """
     names = list(rules)
-    present = [
-        F.when(~is_missing(df, c, rules[c]), named(c)).cast("string") for c in names
-    ]
-    pairs = [part for i, v in enumerate(present) for part in (F.lit(i), v)]
+    types = {c: _slot_type(df.schema[c].dataType) for c in names}
+    slots = {t: f"value{i}" for i, t in enumerate(dict.fromkeys(types.values()))}
+
+    def unpivoted(i: int, name: str) -> list[Column]:
+        value = F.when(~is_missing(df, name, rules[name]), named(name))
+        return [F.lit(i)] + [
+            (value if t == types[name] else F.lit(None)).cast(t) for t in slots
+        ]
+
+    pairs = [part for i, c in enumerate(names) for part in unpivoted(i, c)]
     counts = (
-        df.select(F.stack(F.lit(len(names)), *pairs).alias("which", "value"))
-        .where(F.col("value").isNotNull())
-        .groupBy("which", "value")
+        df.select(F.stack(F.lit(len(names)), *pairs).alias("which", *slots.values()))
+        .where(reduce(or_, (F.col(v).isNotNull() for v in slots.values())))
+        .groupBy("which", *slots.values())
         .agg(F.count("*").alias("n"))
     )
 
     def best(i: int, name: str) -> Column:
-        value = F.col("value").try_cast(df.schema[name].dataType)
-        rank = F.struct((-F.col("n")).alias("down"), value.alias("value"))
+        rank = F.struct((-F.col("n")).alias("down"), F.col(slots[types[name]]).alias("value"))
         return F.min(F.when(F.col("which") == i, rank)).alias(name)
 
     def shown(name: str) -> Column:
