@@ -76,7 +76,10 @@ def normalize_label(column: Column) -> Column:
 
 
 def show_text(column: Column, width: int) -> Column:
-    """Display form of a long text: cut to ``width`` with three dots at the end."""
+    """Display form of a long text: cut to ``width`` with three dots at the end.
+
+    A width below four has room for dots only.
+    """
     text = column.cast("string")
-    cut = F.concat(F.substring(text, 1, width - 3), F.lit("..."))
+    cut = F.concat(F.substring(text, 1, max(width - 3, 0)), F.lit("..."[:width]))
     return F.when(F.length(text) > width, cut).otherwise(text)
