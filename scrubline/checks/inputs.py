@@ -2,8 +2,10 @@
 
 The given tables are clean, so these expressions add the dirt that the
 operators are about: gaps, NaN, blanks, impossible dates, overflowing counts,
-very short texts.  They cover every row, and Spark SQL and DuckDB run the same
-text, which makes them the common ground of a query and its check.
+infinite scores, very short texts.  They cover every row, and Spark SQL and
+DuckDB run the same text, which makes them the common ground of a query and its
+check.  Every document is a review with its whole text; gaps and short texts are
+further reviews with keys of their own.
 """
 
 from __future__ import annotations
@@ -45,15 +47,19 @@ APPS = {
         WHEN p_partkey % 2 = 0 THEN '4.1 and up' ELSE '4.0 and up' END""",
 }
 
+# Numbers with zeros of either sign, from the table of the apps.
+NUMBERS = {
+    "app_id": "p_partkey",
+    "size": "p_size",
+    "balance": """CASE p_partkey % 4 WHEN 0 THEN CAST('-0.0' AS DOUBLE)
+        WHEN 1 THEN CAST('0.0' AS DOUBLE) ELSE p_retailprice END""",
+}
+
 REVIEWS_TABLE = "documents"
 REVIEWS = {
     "review_id": "doc_id",
     "app": "source",
-    "translated_review": """CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN ''
-        WHEN doc_id % 11 = 0 THEN 'nan'
-        WHEN doc_id % 8 = 0 THEN substr(text, 1, CAST(1 + doc_id % 12 AS INT))
-        WHEN doc_id % 6 = 1 THEN substr('wonderful', 1, CAST(1 + doc_id % 9 AS INT))
-        ELSE text END""",
+    "translated_review": "text",
     "sentiment": """CASE WHEN doc_id % 13 = 0 THEN NULL WHEN doc_id % 7 = 0 THEN 'nan'
         WHEN doc_id % 3 = 0 THEN ' Positive ' WHEN doc_id % 5 = 0 THEN 'POSITIVE'
         WHEN doc_id % 3 = 1 THEN 'Negative' ELSE 'Neutral' END""",
@@ -64,6 +70,15 @@ REVIEWS = {
         WHEN doc_id % 29 = 0 THEN ''
         ELSE CAST(CAST(doc_id % 101 AS DOUBLE) / 100 AS STRING) END""",
 }
+SHORT_REVIEWS = REVIEWS | {
+    "review_id": "doc_id + 1000000000000",
+    "translated_review": """CASE WHEN doc_id % 9 = 0 THEN NULL WHEN doc_id % 10 = 0 THEN ''
+        WHEN doc_id % 11 = 0 THEN 'nan' WHEN doc_id % 8 = 0 THEN '...'
+        WHEN doc_id % 7 = 0 THEN 'Là' WHEN doc_id % 5 = 0 THEN 'Ok, né'
+        ELSE substr('wonderful', 1, CAST(1 + doc_id % 9 AS INT)) END""",
+    "sentiment_polarity": f"""CASE WHEN doc_id % 31 = 1 THEN 'inf' WHEN doc_id % 31 = 2
+        THEN '-Infinity' ELSE {REVIEWS['sentiment_polarity']} END""",
+}
 
 
 def _listed(expressions: dict[str, str]) -> list[str]:
@@ -79,6 +94,12 @@ def apps_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.selectExpr(*_listed(APPS))
 
 
+def numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = spark.read.parquet(f"{sf_dir}/{APPS_TABLE}.parquet")
+    return table.selectExpr(*_listed(NUMBERS))
+
+
 def reviews_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/{REVIEWS_TABLE}.parquet")
-    return table.selectExpr(*_listed(REVIEWS))
+    whole, short = (table.selectExpr(*_listed(e)) for e in (REVIEWS, SHORT_REVIEWS))
+    return whole.unionAll(short)

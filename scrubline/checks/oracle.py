@@ -10,13 +10,18 @@ from __future__ import annotations
 from scrubline.checks.inputs import (
     APPS,
     APPS_TABLE,
+    NUMBERS,
     REVIEWS,
     REVIEWS_TABLE,
+    SHORT_REVIEWS,
     as_sql,
 )
 
 APP_ROWS = f"apps AS ({as_sql(APPS, APPS_TABLE)})"
-REVIEW_ROWS = f"reviews AS ({as_sql(REVIEWS, REVIEWS_TABLE)})"
+REVIEW_ROWS = (
+    f"reviews AS ({as_sql(REVIEWS, REVIEWS_TABLE)} "
+    f"UNION ALL {as_sql(SHORT_REVIEWS, REVIEWS_TABLE)})"
+)
 COMPLETE = """complete AS (
     SELECT * FROM reviews
     WHERE translated_review IS NOT NULL AND translated_review <> ''
@@ -85,7 +90,7 @@ CONVERTED = f"{TO_INT.format('reviews')}, {TO_INT.format('installs')}, {TO_PRICE
 
 def _score(column: str) -> str:
     number = f"TRY_CAST({column} AS FLOAT)"
-    return f"CASE WHEN NOT isnan({number}) THEN CAST({number} AS DOUBLE) END AS {column}"
+    return f"CASE WHEN isfinite({number}) THEN CAST({number} AS DOUBLE) END AS {column}"
 
 
 SCORES = f"{_score('sentiment_polarity')}, {_score('sentiment_subjectivity')}"
@@ -198,6 +203,10 @@ ORACLE: dict[str, str] = {
         CLEANED,
         LONG_ENOUGH,
     ),
+    "preview_ties": _apps(
+        f"""SELECT {_shown('genres', 20)}, {_shown('category', 20)}, app_id FROM
+        (SELECT * FROM apps ORDER BY genres, category, app_id LIMIT 5)"""
+    ),
     "jdbc_ready_apps": _apps(
         f"""SELECT app_id, app, category, {PLAIN_RATING}, size, type, content_rating, genres,
         last_updated, current_ver, android_ver, {CONVERTED},
@@ -245,8 +254,8 @@ ORACLE: dict[str, str] = {
     ),
     "reviews_valid_sentiment": _reviews(
         """SELECT * FROM complete
-        WHERE NOT coalesce(isnan(TRY_CAST(sentiment_polarity AS DOUBLE)), true)
-          AND NOT coalesce(isnan(TRY_CAST(sentiment_subjectivity AS DOUBLE)), true)""",
+        WHERE isfinite(TRY_CAST(sentiment_polarity AS DOUBLE))
+          AND isfinite(TRY_CAST(sentiment_subjectivity AS DOUBLE))""",
         COMPLETE,
     ),
     # aggregations and profiling
@@ -266,6 +275,12 @@ ORACLE: dict[str, str] = {
             if c != "rating"
         )
     ),
+    "numeric_modes": f"WITH apps AS ({as_sql(NUMBERS, APPS_TABLE)}) "
+    + _union(
+        f"SELECT '{c}' AS \"column\", mode, n FROM (SELECT {c} + 0.0::DOUBLE AS mode, "
+        f"count(*) AS n FROM apps GROUP BY 1 ORDER BY n DESC, mode LIMIT 1)"
+        for c in ("size", "balance")
+    ),
     "missing_wide": _apps(f"SELECT {_wide(APP_KINDS)} FROM apps"),
     "missing_wide_reviews": _reviews(f"SELECT {_wide(REVIEW_KINDS)} FROM reviews"),
     "missing_long": _reviews(

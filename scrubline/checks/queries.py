@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scrubline import functions as fn
 from scrubline import operators as ops
 from scrubline import plans, sources
-from scrubline.checks.inputs import apps_raw, reviews_raw
+from scrubline.checks.inputs import apps_raw, numbers, reviews_raw
 from scrubline.functions.missing import named
 from scrubline.plans.apps import typed_rating
 from scrubline.session import shared_folder
@@ -88,6 +88,11 @@ def preview_reviews(spark, sf_dir):
     return ops.preview(texts.select("review_id", "translated_review"), "review_id", 5, 100)
 
 
+@_register
+def preview_ties(spark, sf_dir):
+    return ops.preview(apps_raw(spark, sf_dir).select("genres", "category", "app_id"), "genres")
+
+
 @_register
 def jdbc_ready_apps(spark, sf_dir):
     return _shown_apps(sources.jdbc_ready(plans.convert_apps(apps_raw(spark, sf_dir))))
@@ -179,6 +184,12 @@ def column_modes(spark, sf_dir):
     return ops.column_modes(apps_raw(spark, sf_dir), MODE_RULES)
 
 
+@_register
+def numeric_modes(spark, sf_dir):
+    modes = ops.column_modes(numbers(spark, sf_dir), {"size": fn.NULL, "balance": fn.NULL})
+    return modes.withColumn("mode", F.col("mode").cast("double"))
+
+
 @_register
 def missing_wide(spark, sf_dir):
     return ops.missing_wide(apps_raw(spark, sf_dir))

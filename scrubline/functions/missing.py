@@ -85,6 +85,11 @@ def is_missing(df: DataFrame, name: str, rule: Missing = AUDIT) -> Column:
     return missing
 
 
+def is_finite(number: Column) -> Column:
+    """True for a floating-point number that is neither NULL, NaN nor infinite."""
+    return F.coalesce(F.abs(number) < float("inf"), F.lit(False))
+
+
 def nan_to_null(df: DataFrame, *names: str) -> DataFrame:
     """NaN, or text that reads as NaN, becomes NULL in the named columns.
 

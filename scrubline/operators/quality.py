@@ -9,15 +9,25 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
+from scrubline.functions.missing import (
+    NAN,
+    Missing,
+    count_where,
+    is_finite,
+    is_missing,
+    named,
+)
 
 
 @dataclass(frozen=True)
 class Domain:
     """Valid values: a closed set, or a closed range of numbers.
 
-    Missing values (NULL, and those of ``missing``) are not violations.
+    Missing values (NULL, and those of ``missing``) are not violations.  In a
+    text column a range compares the number that a text reads as; a text that
+    is no number violates it.
     """
 
     allowed: tuple = ()
@@ -29,10 +39,15 @@ class Domain:
         """Predicate for present values outside the domain; never NULL."""
         value = named(column)
         outside = ~value.isin(*self.allowed) if self.allowed else F.lit(False)
-        if self.low is not None:
-            outside = outside | (value < self.low)
-        if self.high is not None:
-            outside = outside | (value > self.high)
+        if self.low is not None or self.high is not None:
+            number = value
+            if isinstance(df.schema[column].dataType, (T.StringType, T.CharType, T.VarcharType)):
+                number = value.try_cast("double")
+                outside = outside | number.isNull()
+            if self.low is not None:
+                outside = outside | F.coalesce(number < self.low, F.lit(False))
+            if self.high is not None:
+                outside = outside | F.coalesce(number > self.high, F.lit(False))
         return ~is_missing(df, column, self.missing) & outside
 
 
@@ -65,6 +80,5 @@ def incomplete_rows(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
 
 
 def valid_scores(df: DataFrame, columns: Iterable[str]) -> DataFrame:
-    """Rows whose score columns all hold real numbers, NaN excluded."""
-    numbers = (named(c).try_cast("double") for c in columns)
-    return df.where(reduce(and_, (n.isNotNull() & ~F.isnan(n) for n in numbers)))
+    """Rows whose score columns all hold finite numbers: no NULL, NaN or infinity."""
+    return df.where(reduce(and_, (is_finite(named(c).try_cast("double")) for c in columns)))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from scrubline.functions.missing import nan_to_null
+from scrubline.functions.missing import is_finite, named
 
 
 class LoadMismatch(RuntimeError):
@@ -51,8 +53,9 @@ class JdbcTarget:
 
 
 def jdbc_ready(df: DataFrame) -> DataFrame:
-    """NaN becomes NULL in floating columns, as databases refuse NaN."""
-    return nan_to_null(df)
+    """NaN and infinity become NULL in floating columns, as databases refuse them."""
+    floating = (f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType)))
+    return df.withColumns({n: F.when(is_finite(named(n)), named(n)) for n in floating})
 
 
 def count_loaded(spark: SparkSession, target: JdbcTarget, table: str) -> int:

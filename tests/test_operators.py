@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scrubline import operators as ops
 from scrubline.functions import AUDIT, BLANK, EMPTY, NAN, NULL, Missing
+from scrubline.operators.stats import modes_row
 
 
 def tuples(df):
@@ -242,9 +243,21 @@ def test_domains(small, ansi):
     assert nulled[4].score is None and nulled[0].score == 1.0
 
 
+def test_range_of_a_text_column(spark, ansi):
+    """Text that reads as no number violates a range; gaps do not."""
+    df = spark.createDataFrame(
+        [(1, "2.5"), (2, "abc"), (3, "9"), (4, None), (5, "nan"), (6, "")], "id int, score string"
+    )
+    domains = {"score": ops.Domain(low=0.0, high=5.0)}
+    assert tuples(ops.domain_violations(df, domains)) == [("score", 3)]
+    nulled = ops.null_out_of_domain(df, domains).orderBy("id").collect()
+    assert [r.score for r in nulled] == ["2.5", None, None, None, "nan", None]
+
+
 def test_valid_scores(spark, ansi):
     df = spark.createDataFrame(
-        [(1, "0.5", "1"), (2, "nan", "1"), (3, "1", "abc"), (4, None, "1")],
+        [(1, "0.5", "1"), (2, "nan", "1"), (3, "1", "abc"), (4, None, "1"), (5, "inf", "1"),
+         (6, "1", "-Infinity")],
         "id long, p string, q string",
     )
     assert tuples(ops.valid_scores(df, ["p", "q"]).select("id")) == [(1,)]
@@ -285,6 +298,38 @@ def test_preview(spark):
     assert tuples(ops.preview(df.limit(0), "id")) == []
 
 
+def test_preview_of_tied_keys_does_not_depend_on_the_partitioning(spark):
+    df = spark.range(4000).selectExpr("id % 2 AS key", "(id * 7919) % 4000 AS v", "map(1, id) AS m")
+    for parts in (1, 3, 16):
+        shown = ops.preview(df.repartition(parts), "key", 4).collect()
+        assert [(r.key, r.v) for r in shown] == [(0, 0), (0, 2), (0, 4), (0, 6)]
+
+
+@pytest.mark.parametrize("width,text", [(1, "."), (2, ".."), (3, "..."), (4, "x...")])
+def test_preview_is_never_wider_than_asked(spark, width, text):
+    df = spark.createDataFrame([(1, "x" * 9)], "id long, text string")
+    assert tuples(ops.preview(df, "id", 1, width)) == [(1, text)]
+
+
+def test_modes_compare_typed_values(spark):
+    """Zeros of either sign are one value, instants of a repeated hour are two."""
+    zeros = spark.createDataFrame([(v,) for v in (0.0, 0.0, -0.0, -0.0, 5.0, 5.0, 5.0)], "d double")
+    zeros = zeros.selectExpr("d", "d > 1 AS flag", "array(d) AS list")
+    modes = modes_row(zeros, {"d": NAN, "flag": NULL, "list": NULL}).first()
+    assert tuple(modes.d) == (0.0, 4) and tuple(modes.flag) == (False, 4)
+    assert tuple(modes.list) == ([0.0], 4)
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 01:30 twice on 5 November 2023, then a later instant twice.
+        seconds = [1699162200, 1699165800, 1699200000, 1699200000]
+        df = spark.createDataFrame([(s,) for s in seconds], "s long").selectExpr("timestamp_seconds(s) AS t")
+        row = modes_row(df, {"t": NULL}).selectExpr("unix_seconds(t.value)", "t.n").first()
+        assert tuple(row) == (1699200000, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_skewed_words_and_modes(spark):
     """A third of all rows hold one value; results stay whole."""
     df = spark.range(30_000, numPartitions=16).select(

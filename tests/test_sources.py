@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrubline import plans, sources
 from scrubline.session import SETTINGS, shared_folder
@@ -144,11 +145,13 @@ def test_jdbc_options():
     assert JdbcTarget("jdbc:x").connection() == {"url": "jdbc:x"}
 
 
-def test_jdbc_ready_has_no_nan(spark):
+def test_jdbc_ready_has_finite_numbers_only(spark):
     df = spark.createDataFrame([(float("nan"), "nan"), (1.0, "x")], "d double, s string")
-    df = df.withColumn("f", df.d.cast("float"))
+    more = spark.createDataFrame([(float("inf"), "inf"), (float("-inf"), "y"), (None, "z")], df.schema)
+    df = df.unionAll(more).withColumn("f", F.col("d").cast("float"))
     assert [tuple(r) for r in sources.jdbc_ready(df).collect()] == [
-        (None, "nan", None), (1.0, "x", 1.0)
+        (None, "nan", None), (1.0, "x", 1.0), (None, "inf", None), (None, "y", None),
+        (None, "z", None),
     ]
 
 
