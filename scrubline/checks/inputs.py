@@ -55,6 +55,10 @@ NUMBERS = {
         WHEN 1 THEN CAST('0.0' AS DOUBLE) ELSE p_retailprice END""",
 }
 
+# A line of three fields, some with one field less or two more.
+CSV_LINE = """concat(CAST(app_id AS STRING), ',', CAST(size AS STRING),
+    CASE WHEN app_id % 5 = 0 THEN '' WHEN app_id % 7 = 0 THEN ',x,y,z' ELSE ',x' END)"""
+
 REVIEWS_TABLE = "documents"
 REVIEWS = {
     "review_id": "doc_id",

@@ -10,6 +10,7 @@ from __future__ import annotations
 from scrubline.checks.inputs import (
     APPS,
     APPS_TABLE,
+    CSV_LINE,
     NUMBERS,
     REVIEWS,
     REVIEWS_TABLE,
@@ -192,6 +193,9 @@ ORACLE: dict[str, str] = {
         nullif(sentiment_polarity, '') AS sentiment_polarity,
         nullif(sentiment_subjectivity, '') AS sentiment_subjectivity FROM reviews"""
     ),
+    "csv_malformed_rows": f"""WITH apps AS ({as_sql(NUMBERS, APPS_TABLE)})
+        SELECT app_id AS key, CAST(size AS VARCHAR) AS size, {CSV_LINE} AS malformed_line
+        FROM apps WHERE app_id % 5 = 0 OR app_id % 7 = 0""",
     "parquet_roundtrip": _apps(
         f"""SELECT * REPLACE ({PLAIN_RATING}, nullif(reviews, '') AS reviews,
         nullif(type, '') AS type) FROM apps"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from scrubline import functions as fn
 from scrubline import operators as ops
 from scrubline import plans, sources
-from scrubline.checks.inputs import apps_raw, numbers, reviews_raw
+from scrubline.checks.inputs import CSV_LINE, apps_raw, numbers, reviews_raw
 from scrubline.functions.missing import named
 from scrubline.plans.apps import typed_rating
 from scrubline.session import shared_folder
@@ -73,6 +73,18 @@ def csv_roundtrip(spark, sf_dir):
     return _long(sources.normalize_columns(back), "review_id")
 
 
+@_register
+def csv_malformed_rows(spark, sf_dir):
+    path = shared_folder(spark, "csv_malformed_rows")
+    # One unquoted column holds whole lines, so that each file starts with the header.
+    lines = numbers(spark, sf_dir).selectExpr(f"{CSV_LINE} AS `key,size,label`")
+    lines.write.csv(path, header=True, sep="\x01", quote="")
+    schema = sources.text_schema(["key", "size", "label"])
+    out = shared_folder(spark, "csv_malformed_rows_table")
+    found = sources.malformed_rows(spark, path, schema, out, multi_line=False)
+    return _long(found, "key").select("key", "size", "malformed_line")
+
+
 @_register
 def parquet_roundtrip(spark, sf_dir):
     headers = ("App-ID", *sources.APP_HEADERS)

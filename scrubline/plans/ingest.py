@@ -18,11 +18,13 @@ def land_csv(
     out: str,
     headers: Iterable[str] | None = None,
     multi_line: bool = True,
+    strict: bool = False,
 ) -> DataFrame:
     """Read CSV files, normalise the column names, keep the table as parquet.
 
     Everything later reads the returned snapshot, so the text is parsed once.
+    ``strict`` fails on rows with too many or too few fields.
     """
     schema = text_schema(headers) if headers else None
-    raw = read_csv(spark, paths, schema, multi_line=multi_line)
+    raw = read_csv(spark, paths, schema, multi_line=multi_line, strict=strict)
     return write_snapshot(normalize_columns(raw), out)

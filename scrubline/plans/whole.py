@@ -23,9 +23,10 @@ from scrubline.plans.reviews import (
     complete_reviews,
     top_positive_words,
 )
+from scrubline.sources.csv import malformed_rows
 from scrubline.sources.jdbc import JdbcTarget, load_table
 from scrubline.sources.parquet import write_snapshot
-from scrubline.sources.tables import APP_HEADERS, REVIEW_HEADERS
+from scrubline.sources.tables import APP_HEADERS, REVIEW_HEADERS, text_schema
 
 
 def prepare(
@@ -40,8 +41,10 @@ def prepare(
     """Clean both tables into ``out`` and return them with the reports on them.
 
     ``out`` gets ``raw`` and ``clean`` snapshots; every report reads those.
-    With a ``target`` the cleaned tables are loaded there as ``apps`` and
-    ``reviews``.  The reports are lazy, so only those that are shown run.
+    Rows with too many or too few fields are also kept raw, in
+    ``raw/malformed_apps`` and ``raw/malformed_reviews``.  With a ``target`` the
+    cleaned tables are loaded there as ``apps`` and ``reviews``.  The reports are
+    lazy, so only those that are shown run.
     """
     apps = land_csv(spark, app_paths, f"{out}/raw/apps", APP_HEADERS, multi_line)
     reviews = land_csv(spark, review_paths, f"{out}/raw/reviews", REVIEW_HEADERS, multi_line)
@@ -55,7 +58,14 @@ def prepare(
         for name, table in clean.items():
             load_table(table, target, name)
     complete = complete_reviews(reviews)
+    app_schema, review_schema = text_schema(APP_HEADERS), text_schema(REVIEW_HEADERS)
     return clean | {
+        "malformed_apps": malformed_rows(
+            spark, app_paths, app_schema, f"{out}/raw/malformed_apps", multi_line
+        ),
+        "malformed_reviews": malformed_rows(
+            spark, review_paths, review_schema, f"{out}/raw/malformed_reviews", multi_line
+        ),
         "app_shape": table_shape(apps),
         "review_shape": table_shape(reviews),
         "app_fill_values": model.as_frame(spark),

@@ -1,6 +1,6 @@
 """Reading and writing tables."""
 
-from scrubline.sources.csv import read_csv, write_csv
+from scrubline.sources.csv import malformed_rows, read_csv, write_csv
 from scrubline.sources.jdbc import JdbcTarget, LoadMismatch, jdbc_ready, load_table
 from scrubline.sources.names import NameCollision, normal_name, normalize_columns
 from scrubline.sources.parquet import persisted, read_snapshot, write_snapshot
@@ -14,6 +14,7 @@ __all__ = [
     "NameCollision",
     "jdbc_ready",
     "load_table",
+    "malformed_rows",
     "normal_name",
     "normalize_columns",
     "persisted",

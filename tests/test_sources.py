@@ -42,6 +42,22 @@ def test_csv_header_must_match_the_schema(spark, tmp_path):
         sources.read_csv(spark, path, sources.text_schema(["b", "a"])).collect()
 
 
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_malformed_rows_are_found_or_refused(spark, tmp_path, multi_line):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,x\n2\n3,"y, z"\n4,u,v\n,\n')
+    schema = sources.text_schema(["a", "b"])
+    found = sources.malformed_rows(spark, str(path), schema, str(tmp_path / "bad"), multi_line)
+    assert found.columns == ["a", "b", "malformed_line"] and found.count() == 2
+    rows = found.select("malformed_line", "a").orderBy("a").collect()
+    assert [(r.malformed_line.strip(), r.a) for r in rows] == [("2", "2"), ("4,u,v", "4")]
+    assert sources.read_csv(spark, str(path), schema, multi_line=multi_line).count() == 5
+    with pytest.raises(Exception, match="(?i)malformed"):
+        plans.land_csv(
+            spark, str(path), str(tmp_path / "out"), ["a", "b"], multi_line, strict=True
+        )
+
+
 def test_csv_inference_is_optional(spark, tmp_path):
     path = str(tmp_path / "csv")
     sources.write_csv(spark.createDataFrame([("1.10", "x")], "ver string, b string"), path)
