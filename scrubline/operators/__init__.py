@@ -16,6 +16,7 @@ from scrubline.operators.impute import (
     ImputeModel,
     fit_mean,
     fit_median,
+    fit_median_and_modes,
     fit_modes,
     fit_modes_where_missing,
 )
@@ -38,7 +39,6 @@ from scrubline.operators.stats import (
 from scrubline.operators.words import (
     length_distribution,
     length_histogram,
-    min_length,
     top_words,
     with_label,
     word_counts,
@@ -56,13 +56,13 @@ __all__ = [
     "exact_quantile",
     "fit_mean",
     "fit_median",
+    "fit_median_and_modes",
     "fit_modes",
     "fit_modes_where_missing",
     "impute_report",
     "incomplete_rows",
     "length_distribution",
     "length_histogram",
-    "min_length",
     "missing_counts",
     "missing_long",
     "missing_percentages",

@@ -30,12 +30,20 @@ def _unpivot(wide: DataFrame, names: Iterable[str], value: str) -> DataFrame:
     return wide.unpivot(ROWS, list(names), "column", value)
 
 
+def _chosen(df: DataFrame, columns: Iterable[str] | None) -> list[str]:
+    """The columns of an audit: all unless given; none at all is an error."""
+    names = list(df.columns if columns is None else columns)
+    if not names:
+        raise ValueError("no columns to audit")
+    return names
+
+
 def missing_wide(
     df: DataFrame, columns: Iterable[str] | None = None, rule: Missing = AUDIT
 ) -> DataFrame:
     """One row with one missing count per column."""
     return df.agg(
-        *(count_where(is_missing(df, c, rule)).alias(c) for c in columns or df.columns)
+        *(count_where(is_missing(df, c, rule)).alias(c) for c in _chosen(df, columns))
     )
 
 
@@ -59,7 +67,7 @@ def missing_long(
     df: DataFrame, columns: Iterable[str] | None = None, rule: Missing = AUDIT
 ) -> DataFrame:
     """(column, missing_count), one row per column."""
-    counted = _counted(df, {c: rule for c in columns or df.columns})
+    counted = _counted(df, {c: rule for c in _chosen(df, columns)})
     return counted.select("column", F.col("missing").alias("missing_count"))
 
 
@@ -67,7 +75,7 @@ def missing_percentages(
     df: DataFrame, columns: Iterable[str] | None = None, rule: Missing = AUDIT
 ) -> DataFrame:
     """(column, missing, pct) over the rows of ``df``; 0 % for an empty table."""
-    counted = _counted(df, {c: rule for c in columns or df.columns})
+    counted = _counted(df, {c: rule for c in _chosen(df, columns)})
     return counted.select(
         "column", "missing", percentage(F.col("missing"), F.col(ROWS)).alias("pct")
     )

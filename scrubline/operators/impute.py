@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scrubline.functions.missing import NAN, Missing, is_missing, named
-from scrubline.operators.audit import missing_counts
+from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 from scrubline.operators.stats import (
     approximate_quantile,
     column_mean,
     exact_quantile,
+    look_at,
     modes_row,
 )
 
@@ -35,10 +35,16 @@ class Fill:
 
 @dataclass(frozen=True)
 class ImputeModel:
-    """Fill values of several columns; models add up with ``+``."""
+    """Fill values of several columns, one each; models add up with ``+``."""
 
     fills: tuple[Fill, ...] = ()
 
+    def __post_init__(self) -> None:
+        columns = [f.column for f in self.fills]
+        twice = sorted({c for c in columns if columns.count(c) > 1})
+        if twice:
+            raise ValueError(f"more than one fill for {twice}")
+
     def __add__(self, other: ImputeModel) -> ImputeModel:
         return ImputeModel(self.fills + other.fills)
 
@@ -96,11 +102,30 @@ def fit_modes(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
     )
 
 
+def _gaps(df: DataFrame, rules: Mapping[str, Missing]) -> dict[str, Column]:
+    return {c: count_where(is_missing(df, c, r)) for c, r in rules.items()}
+
+
 def fit_modes_where_missing(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
     """Modes of those columns in ``rules`` that have anything to fill.
 
     A counting pass comes first.  It needs no shuffle, while the mode of a
     nearly unique column shuffles all of it.
     """
-    gaps = missing_counts(df, rules).first()
-    return fit_modes(df, {c: r for c, r in rules.items() if gaps[f"{c}_missing"]})
+    if not rules:
+        return ImputeModel()
+    gaps = df.agg(*(n.alias(c) for c, n in _gaps(df, rules).items())).first()
+    return fit_modes(df, {c: r for c, r in rules.items() if gaps[c]})
+
+
+def fit_median_and_modes(
+    df: DataFrame, median: str, rules: Mapping[str, Missing]
+) -> ImputeModel:
+    """:func:`fit_median` of one column and :func:`fit_modes_where_missing` of others.
+
+    The gaps are counted in the median's first pass.
+    """
+    look = look_at(df, median, _gaps(df, rules))
+    value = exact_quantile(df, median, 0.5, look=look)
+    modes = fit_modes(df, {c: r for c, r in rules.items() if look.counts[c]})
+    return ImputeModel((Fill(median, "median", value, NAN),)) + modes

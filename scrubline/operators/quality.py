@@ -70,13 +70,15 @@ def null_out_of_domain(df: DataFrame, domains: Mapping[str, Domain]) -> DataFram
 
 
 def complete_rows(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
-    """Rows without a missing value in the columns of ``rules``."""
-    return df.where(reduce(and_, (~is_missing(df, c, r) for c, r in rules.items())))
+    """Rows without a missing value in the columns of ``rules``: all, if there are none."""
+    present = (~is_missing(df, c, r) for c, r in rules.items())
+    return df.where(reduce(and_, present, F.lit(True)))
 
 
 def incomplete_rows(df: DataFrame, rules: Mapping[str, Missing]) -> DataFrame:
     """The other rows: at least one of the columns is missing."""
-    return df.where(reduce(or_, (is_missing(df, c, r) for c, r in rules.items())))
+    missing = (is_missing(df, c, r) for c, r in rules.items())
+    return df.where(reduce(or_, missing, F.lit(False)))
 
 
 def valid_scores(df: DataFrame, columns: Iterable[str]) -> DataFrame:

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
@@ -86,9 +89,73 @@ def column_mean(df: DataFrame, column: str) -> DataFrame:
     return df.agg(F.avg(present).alias("mean"))
 
 
-def _values(df: DataFrame, column: str) -> DataFrame:
-    numbers = df.select(named(column).try_cast("double").alias("v"))
-    return numbers.where(F.col("v").isNotNull() & ~F.isnan("v"))
+# Steps of the shares that a sketch is asked for, and groups of tasks with a sketch each.
+STEPS, GROUPS = 1000, 256
+
+
+@dataclass(frozen=True)
+class Look:
+    """What one pass says about a column.
+
+    ``rows`` with a number, ``points`` (value, rank up to it) in order, where a
+    rank is right within two of ``steps``, and the counts asked for on the way.
+    """
+
+    rows: int
+    points: tuple[tuple[float, float], ...]
+    steps: int
+    counts: dict[str, int]
+
+    def element(self, rank: float) -> float:
+        """The first point whose rank reaches ``rank``, or the last one."""
+        at = bisect_left(self.points, rank, key=lambda point: point[1])
+        return self.points[min(at, len(self.points) - 1)][0]
+
+
+def _number(column: str) -> Column:
+    """The column as double; NULL for NaN and for text that is no number."""
+    value = named(column).try_cast("double")
+    return F.when(~F.isnan(value), value)
+
+
+def _look(
+    df: DataFrame, value: Column, counts: Mapping[str, Column] | None = None, steps: int = STEPS
+) -> Look:
+    """One scan and one shuffle of a row per task.
+
+    Merging the sketches of all tasks would be the work of one.  So ``GROUPS``
+    tasks merge those of a part of the tasks each, and hand ``steps`` quantiles
+    with the number of rows to the driver, which puts them in one order: its
+    share is bounded whatever the table.
+    """
+    counts = counts or {}
+    shares = [i / steps for i in range(steps + 1)]
+    groups = (
+        df.groupBy((F.spark_partition_id() % GROUPS).alias("__group"))
+        .agg(
+            F.count(value).alias("__rows"),
+            F.percentile_approx(value, shares, steps).alias("__points"),
+            *(c.alias(f"__n{i}") for i, c in enumerate(counts.values())),
+        )
+        .collect()
+    )
+    weighted = sorted(
+        (point, g["__rows"] / steps if i else 0.0)
+        for g in groups
+        for i, point in enumerate(g["__points"] or ())
+    )
+    ranks = accumulate(weight for _, weight in weighted)
+    return Look(
+        sum(g["__rows"] for g in groups),
+        tuple(zip((point for point, _ in weighted), ranks)),
+        steps,
+        {name: sum(g[f"__n{i}"] for g in groups) for i, name in enumerate(counts)},
+    )
+
+
+def look_at(df: DataFrame, column: str, counts: Mapping[str, Column] | None = None) -> Look:
+    """A :class:`Look` at ``column``, with aggregates that count, in the same pass."""
+    return _look(df, _number(column), counts)
 
 
 def approximate_quantile(
@@ -96,19 +163,20 @@ def approximate_quantile(
 ) -> float | None:
     """An element of the column whose rank is within ``relative_error`` of ``q``.
 
-    One pass with a sketch of about ``1 / relative_error`` entries.  NULL and
-    NaN are skipped; a column without values gives None.
+    One pass; a sketch of about ``4 / relative_error`` entries in a task.  NULL
+    and NaN are skipped; a column without values gives None.
     """
-    sketch = F.percentile_approx("v", q, math.ceil(1 / relative_error))
-    return _values(df, column).agg(sketch).first()[0]
+    look = _look(df, _number(column), steps=math.ceil(4 / relative_error))
+    return look.element(q * look.rows) if look.rows else None
 
 
 def exact_quantile(
     df: DataFrame,
     column: str,
     q: float = 0.5,
-    accuracy: int = 1000,
     small: int = 100_000,
+    look: Look | None = None,
+    steps: int = STEPS,
 ) -> float | None:
     """The smallest element whose cumulative share reaches ``q``, exactly.
 
@@ -116,39 +184,54 @@ def exact_quantile(
     aggregates do, does not scale.  Instead a bounded sketch proposes two
     bracketing elements, and one counting pass says whether the wanted rank
     falls on either of them, between them or outside; the search goes on in
-    that open interval, which holds a few thousandths of the rows.  A heavy
-    value is hit as a bracket end rather than carried along.  Only an interval
-    of at most ``small`` rows is sorted.  The result does not depend on the
+    that open interval, which holds a few thousandths of the rows, and which the
+    same pass has sketched if it is expected to be large.  A heavy value is hit
+    as a bracket end rather than carried along.  Only an interval of at most
+    ``small`` rows comes to the driver.  The result does not depend on the
     quality of the sketch, only the number of passes does.
+
+    ``look`` saves the first pass if :func:`look_at` ran on the column before.
     """
-    v, part = F.col("v"), _values(df, column)
-    rows = part.count()
-    if rows == 0:
-        return None
-    rank = max(1, math.ceil(q * rows))
-    while rows > small:
-        reach = 2 / accuracy
-        shares = [max(0.0, rank / rows - reach), min(1.0, rank / rows + reach)]
-        left, right = part.agg(F.percentile_approx("v", shares, accuracy)).first()[0]
-        n = part.agg(
-            count_where(v < left).alias("before"),
-            count_where(v == left).alias("left"),
-            count_where((v > left) & (v < right)).alias("between"),
-            count_where((v == right) & (v > left)).alias("right"),
-        ).first()
-        if rank <= n.before:
-            part, rows = part.where(v < left), n.before
+    v = F.col("v")
+    part = df.select(_number(column).alias("v")).where(v.isNotNull())
+    look = look or _look(part, v, steps=steps)
+    rank = max(1, math.ceil(q * look.rows))
+    while look.rows > small:
+        reach = 2 * look.rows / look.steps
+        left, right = look.element(rank - reach), look.element(rank + reach)
+        inside = (v > left) & (v < right)
+        counts = {
+            "before": count_where(v < left),
+            "left": count_where(v == left),
+            "between": count_where(inside),
+            "right": count_where((v == right) & (v > left)),
+        }
+        if 3 * reach > small:
+            inner = _look(part, F.when(inside, v), counts, steps)
+            n = inner.counts
+        else:
+            inner = None
+            n = part.agg(*(c.alias(a) for a, c in counts.items())).first().asDict()
+        if rank <= n["before"]:
+            part = part.where(v < left)
+            look = _look(part, v, steps=steps)
             continue
-        rank -= n.before
-        if rank <= n.left:
+        rank -= n["before"]
+        if rank <= n["left"]:
             return left
-        rank -= n.left
-        if rank <= n.between:
-            part, rows = part.where((v > left) & (v < right)), n.between
+        rank -= n["left"]
+        if rank <= n["between"]:
+            part = part.where(inside)
+            if n["between"] <= small:
+                break
+            look = inner or _look(part, v, steps=steps)
             continue
-        rank -= n.between
-        if rank <= n.right:
+        rank -= n["between"]
+        if rank <= n["right"]:
             return right
-        rank -= n.right
-        part, rows = part.where(v > right), rows - sum(n)
-    return part.orderBy("v").offset(rank - 1).limit(1).first()[0]
+        rank -= n["right"]
+        part = part.where(v > right)
+        look = _look(part, v, steps=steps)
+    if not look.rows:
+        return None
+    return sorted(r.v for r in part.collect())[rank - 1]

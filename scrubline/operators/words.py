@@ -14,11 +14,6 @@ from scrubline.functions.text import (
 )
 
 
-def min_length(df: DataFrame, column: str, least: int) -> DataFrame:
-    """Rows whose text has at least ``least`` characters."""
-    return df.where(F.length(named(column)) >= least)
-
-
 def length_distribution(df: DataFrame, column: str) -> DataFrame:
     """(length, n): rows by length of the cleaned text, shortest first."""
     length = clean_length(named(column)).cast("bigint")

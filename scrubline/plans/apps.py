@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import nullcontext
+
 from pyspark.sql import DataFrame
 
 from scrubline.functions.convert import (
@@ -14,10 +16,11 @@ from scrubline.functions.missing import AUDIT, BLANK, NAN, named
 from scrubline.operators.impute import (
     ImputeModel,
     fit_median,
+    fit_median_and_modes,
     fit_modes,
-    fit_modes_where_missing,
 )
 from scrubline.operators.quality import Domain
+from scrubline.sources.parquet import persisted
 
 # What is missing in the imputed columns, the valid values, and
 # the order of the cleaned columns.
@@ -55,10 +58,18 @@ def typed_rating(df: DataFrame) -> DataFrame:
     return df.withColumn("rating", to_double(named("rating")))
 
 
-def fit_apps(df: DataFrame, relative_error: float | None = None) -> ImputeModel:
-    """Median of the rating and modes of type, content rating and versions."""
+def fit_apps(
+    df: DataFrame, relative_error: float | None = None, keep: bool = False
+) -> ImputeModel:
+    """Median of the rating and modes of type, content rating and versions.
+
+    ``keep`` holds the five columns between the passes, for a table that is
+    costly to read again, such as CSV or the result of a query.
+    """
     modes = {c: rule for c, rule in APP_MISSING.items() if c != "rating"}
-    return fit_median(df, "rating", relative_error) + fit_modes(df, modes)
+    narrow = df.select(*(named(c) for c in APP_MISSING))
+    with persisted(narrow) if keep else nullcontext(narrow) as table:
+        return fit_median(table, "rating", relative_error) + fit_modes(table, modes)
 
 
 def convert_apps(df: DataFrame, count_type: str = "int") -> DataFrame:
@@ -99,5 +110,5 @@ def impute_all(df: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     typed = typed_rating(df)
     rest = [c for c in df.columns if c not in ("rating", *keys)]
     rules = {c: BLANK if c == "type" else AUDIT for c in rest}
-    model = fit_median(typed, "rating") + fit_modes_where_missing(typed, rules)
+    model = fit_median_and_modes(typed, "rating", rules)
     return model.transform(typed)

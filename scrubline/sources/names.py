@@ -7,13 +7,17 @@ import re
 from pyspark.sql import DataFrame
 
 
+# Fixed value: the characters that a normal name replaces.
+REPLACED = "[^a-zA-Z0-9]"
+
+
 class NameCollision(ValueError):
     """Two headers have the same normal name."""
 
 
 def normal_name(header: str) -> str:
     """Lower case, with ``_`` for each character but ASCII letters and digits."""
-    return re.sub("[^a-zA-Z0-9]", "_", header).lower()
+    return re.sub(REPLACED, "_", header).lower()
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import uuid
 from datetime import date
 
 import pytest
@@ -126,10 +127,40 @@ def test_exact_quantile(spark, name):
     for q in (0.5, 0.1, 1.0):
         want = expected_quantile(values, q)
         # A coarse sketch and a small remainder force several rounds.
-        assert ops.exact_quantile(df, "v", q, accuracy=20, small=5) == want
+        assert ops.exact_quantile(df, "v", q, small=5, steps=20) == want
     assert ops.exact_quantile(df, "v") == expected_quantile(values, 0.5)
 
 
+def jobs_of(spark, run):
+    """(result, number of jobs) of a function that runs Spark jobs."""
+    group = f"counted-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = run()
+        return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_exact_quantile_of_many_rows_takes_three_scans(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3_000_000).selectExpr("hash(id) / 7.0D AS v").write.parquet(path)
+    df = spark.read.parquet(path)
+    found, jobs = jobs_of(spark, lambda: ops.exact_quantile(df, "v"))
+    exact = df.selectExpr("percentile_disc(0.5) WITHIN GROUP (ORDER BY v)").first()[0]
+    # A sketch (two jobs), a count (two), the rest (one).
+    assert found == exact and jobs <= 5
+
+
+def test_median_and_gap_counts_share_a_pass(spark, small):
+    rules = {"label": NULL, "note": BLANK, "id": AUDIT}
+    both, jobs = jobs_of(spark, lambda: ops.fit_median_and_modes(small, "score", rules))
+    apart, more = jobs_of(
+        spark, lambda: ops.fit_median(small, "score") + ops.fit_modes_where_missing(small, rules)
+    )
+    assert both == apart and jobs < more
+
+
 def test_approximate_quantile_is_within_its_error(spark):
     values = SAMPLES["continuous"]
     df = spark.createDataFrame([(v,) for v in values], "v double").repartition(8)
@@ -175,6 +206,18 @@ def test_mean_imputation(small):
     assert {round(r.score, 6) for r in filled.collect()} == {1.0, 3.0, 4.0, 2.666667}
 
 
+def test_a_column_has_one_fill(small):
+    with pytest.raises(ValueError, match="score"):
+        ops.fit_median(small, "score") + ops.fit_mean(small, "score")
+
+
+def test_empty_lists_of_columns(small):
+    assert ops.complete_rows(small, {}).count() == small.count()
+    assert ops.incomplete_rows(small, {}).count() == 0
+    with pytest.raises(ValueError, match="no columns"):
+        ops.missing_wide(small, [])
+
+
 def test_column_without_values_stays_missing(spark):
     df = spark.createDataFrame([(1, "", float("nan")), (2, None, None)], "id long, s string, d double")
     model = ops.fit_median(df, "d") + ops.fit_modes(df, {"s": BLANK})
@@ -271,7 +314,6 @@ def test_lengths_labels_and_words(spark):
         [(" Positive ", "Good, good app!"), ("positive", "bad"), ("Neutral", "ok"), (None, None)],
         "label string, text string",
     )
-    assert tuples(ops.min_length(df, "text", 3).select("text")) == [("Good, good app!",), ("bad",)]
     positive = ops.with_label(df, "label", "positive")
     assert sorted(tuples(ops.word_counts(positive, "text"))) == [
         ("app", 1), ("bad", 1), ("good", 2)
