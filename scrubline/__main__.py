@@ -48,7 +48,7 @@ def main() -> None:
         multi_line=not args.single_line,
     )
     for name, frame in results.items():
-        print(f"\n{name}")
+        print(f"\n{name} (whole table: below {args.out})")
         frame.show(20, truncate=40)
     spark.stop()
 

@@ -24,7 +24,7 @@ APPS = {
     "reviews": """CASE WHEN p_partkey % 17 = 0 THEN '3.0M' WHEN p_partkey % 37 = 0 THEN ''
         ELSE CAST(p_partkey * 37 AS STRING) END""",
     "size": """CASE WHEN p_partkey % 7 = 0 THEN 'Varies with device'
-        ELSE concat(CAST(p_partkey % 90 + 1 AS STRING), 'M') END""",
+        ELSE concat(CAST(p_size AS STRING), 'M') END""",
     "installs": """CASE p_partkey % 6 WHEN 0 THEN '1,000+' WHEN 1 THEN '10,000+'
         WHEN 2 THEN '1,000,000,000+' WHEN 3 THEN '5,000,000,000+'
         WHEN 4 THEN 'Free' ELSE '0' END""",
@@ -32,7 +32,7 @@ APPS = {
         WHEN p_partkey % 29 = 0 THEN '  ' WHEN p_partkey % 31 = 0 THEN '0'
         WHEN p_partkey % 43 = 0 THEN 'NaN' WHEN p_partkey % 5 = 0 THEN 'Paid'
         ELSE 'Free' END""",
-    "price": """CASE WHEN p_partkey % 5 = 0 THEN '$4.99' WHEN p_partkey % 47 = 0 THEN '$1,234.56'
+    "price": """CASE WHEN p_partkey % 5 = 0 THEN concat('$', CAST(p_retailprice AS STRING)) WHEN p_partkey % 47 = 0 THEN '$1,234.56'
         WHEN p_partkey % 53 = 0 THEN '1,99' WHEN p_partkey % 59 = 0 THEN 'Everyone'
         ELSE '0' END""",
     "content_rating": """CASE WHEN p_partkey % 14 = 0 THEN NULL WHEN p_partkey % 15 = 0 THEN 'NaN'

@@ -272,6 +272,16 @@ ORACLE: dict[str, str] = {
         f"SELECT round(avg(rating), 6) AS rating_mean FROM apps WHERE {PRESENT['rating']}"
     ),
     "rating_median": _apps(f"SELECT {MEDIAN} AS rating_median"),
+    "rating_median_approx": _apps(
+        f"SELECT count(*) AS n_rows, true AS within_error FROM apps WHERE {PRESENT['rating']}"
+    ),
+    "fill_values": _apps(
+        _union(
+            f"SELECT '{c}' AS \"column\", '{'median' if c == 'rating' else 'mode'}' AS statistic, "
+            f"CAST({MEDIAN if c == 'rating' else _mode(c)} AS VARCHAR) AS value"
+            for c in PRESENT
+        )
+    ),
     "column_modes": _apps(
         _union(
             f"SELECT '{c}' AS \"column\", mode, n FROM {_ranked(c, p)}"

@@ -191,6 +191,23 @@ def rating_median(spark, sf_dir):
     return spark.range(1).select(F.lit(median).cast("double").alias("rating_median"))
 
 
+@_register
+def rating_median_approx(spark, sf_dir):
+    """Whether the rank of the approximate median is within its error."""
+    apps = fn.nan_to_null(apps_raw(spark, sf_dir), "rating").where("rating IS NOT NULL")
+    found = ops.approximate_quantile(apps, "rating", 0.5, 0.01)
+    below, upto = F.count_if(F.col("rating") < found), F.count_if(F.col("rating") <= found)
+    rows = F.count("*")
+    within = (below <= rows * 0.51) & (upto >= rows * 0.49)
+    return apps.agg(rows.alias("n_rows"), within.alias("within_error"))
+
+
+@_register
+def fill_values(spark, sf_dir):
+    model = plans.fit_apps(apps_raw(spark, sf_dir), keep=True)
+    return model.as_frame(spark)
+
+
 @_register
 def column_modes(spark, sf_dir):
     return ops.column_modes(apps_raw(spark, sf_dir), MODE_RULES)

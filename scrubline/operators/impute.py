@@ -65,11 +65,14 @@ class ImputeModel:
 
     def as_frame(self, spark: SparkSession) -> DataFrame:
         """(column, statistic, value), one row per fill."""
-        rows = [
-            (f.column, f.statistic, None if f.value is None else str(f.value))
-            for f in self.fills
-        ]
-        return spark.createDataFrame(rows, "column string, statistic string, value string")
+        def text(value: object) -> Column:
+            return F.lit(None if value is None else str(value))
+
+        fills = F.array(
+            *(F.struct(text(f.column), text(f.statistic), text(f.value)) for f in self.fills)
+        )
+        typed = fills.cast("array<struct<column:string,statistic:string,value:string>>")
+        return spark.range(1).select(F.inline(typed))
 
 
 def fit_median(

@@ -7,19 +7,19 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 
 from scrubline.sources.jdbc import JdbcTarget, load_table
-from scrubline.sources.parquet import write_snapshot
 
 
 def load_tables(
-    tables: Mapping[str, DataFrame], target: JdbcTarget, staging: str
+    tables: Mapping[str, DataFrame], target: JdbcTarget, staging: str, suffix: str = ""
 ) -> dict[str, int]:
-    """Load each frame into the table of its name; returns the row counts.
+    """Load each frame into the table of its name and ``suffix``; returns the row counts.
 
-    A frame is first written below ``staging``, a folder all executors share.
-    The database then sees one plain read: its slow writers hold up no cleaning
-    work, and repeating a load does not repeat the cleaning.
+    Each is staged below ``staging`` first, a folder all executors share: slow
+    database writers hold up no cleaning work, and repeating a load does not
+    repeat the cleaning.  With a suffix such as ``_loading`` readers keep the old
+    tables until the caller renames the new ones, all of them complete.
     """
     return {
-        name: load_table(write_snapshot(df, f"{staging}/{name}"), target, name)
+        name: load_table(df, target, f"{name}{suffix}", f"{staging}/{name}")
         for name, df in tables.items()
     }

@@ -16,6 +16,7 @@ from scrubline.operators.stats import value_distribution
 from scrubline.operators.words import length_histogram
 from scrubline.plans.apps import APP_DOMAINS, clean_apps, fit_apps, typed_rating
 from scrubline.plans.ingest import land_csv
+from scrubline.plans.load import load_tables
 from scrubline.plans.reviews import (
     SCORES,
     TEXT,
@@ -24,7 +25,7 @@ from scrubline.plans.reviews import (
     top_positive_words,
 )
 from scrubline.sources.csv import malformed_rows
-from scrubline.sources.jdbc import JdbcTarget, load_table
+from scrubline.sources.jdbc import JdbcTarget
 from scrubline.sources.parquet import write_snapshot
 from scrubline.sources.tables import APP_HEADERS, REVIEW_HEADERS, text_schema
 
@@ -40,11 +41,11 @@ def prepare(
 ) -> dict[str, DataFrame]:
     """Clean both tables into ``out`` and return them with the reports on them.
 
-    ``out`` gets ``raw`` and ``clean`` snapshots; every report reads those.
-    Rows with too many or too few fields are also kept raw, in
-    ``raw/malformed_apps`` and ``raw/malformed_reviews``.  With a ``target`` the
-    cleaned tables are loaded there as ``apps`` and ``reviews``.  The reports are
-    lazy, so only those that are shown run.
+    ``out`` gets ``raw`` and ``clean`` snapshots, and ``reports`` with every
+    report as parquet, whole; the reports read the snapshots.  Rows with too many
+    or too few fields are also kept raw, in ``raw/malformed_apps`` and
+    ``raw/malformed_reviews``.  With a ``target`` the cleaned tables are loaded
+    there as ``apps`` and ``reviews``, by way of ``loads``.
     """
     apps = land_csv(spark, app_paths, f"{out}/raw/apps", APP_HEADERS, multi_line)
     reviews = land_csv(spark, review_paths, f"{out}/raw/reviews", REVIEW_HEADERS, multi_line)
@@ -55,17 +56,18 @@ def prepare(
         "reviews": write_snapshot(clean_reviews(reviews), f"{out}/clean/reviews"),
     }
     if target:
-        for name, table in clean.items():
-            load_table(table, target, name)
+        load_tables(clean, target, f"{out}/loads")
     complete = complete_reviews(reviews)
     app_schema, review_schema = text_schema(APP_HEADERS), text_schema(REVIEW_HEADERS)
-    return clean | {
+    malformed = {
         "malformed_apps": malformed_rows(
             spark, app_paths, app_schema, f"{out}/raw/malformed_apps", multi_line
         ),
         "malformed_reviews": malformed_rows(
             spark, review_paths, review_schema, f"{out}/raw/malformed_reviews", multi_line
         ),
+    }
+    reports = {
         "app_shape": table_shape(apps),
         "review_shape": table_shape(reviews),
         "app_fill_values": model.as_frame(spark),
@@ -79,3 +81,7 @@ def prepare(
         "review_lengths": length_histogram(complete, TEXT),
         "positive_words": top_positive_words(reviews),
     }
+    stored = {
+        name: write_snapshot(report, f"{out}/reports/{name}") for name, report in reports.items()
+    }
+    return clean | malformed | stored

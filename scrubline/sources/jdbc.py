@@ -19,7 +19,8 @@ class LoadMismatch(RuntimeError):
 class JdbcTarget:
     """A database and how hard to write to it.
 
-    ``connections`` bounds the parallel writers whatever the cluster size.
+    ``connections`` bounds the parallel writers whatever the cluster size, and
+    ``rows_per_file`` the rows of a staged file, about what a transaction holds.
     The driver's jar comes to Spark by ``--jars``.
     """
 
@@ -29,6 +30,7 @@ class JdbcTarget:
     password: str | None = field(default=None, repr=False)
     connections: int = 16
     batch_size: int = 10_000
+    rows_per_file: int = 1_000_000
 
     def connection(self) -> dict[str, str]:
         given = {
@@ -63,19 +65,37 @@ def count_loaded(spark: SparkSession, target: JdbcTarget, table: str) -> int:
     return int(reader.load().first()[0])
 
 
-def load_table(df: DataFrame, target: JdbcTarget, table: str) -> int:
+def slices(files: list[str], connections: int) -> list[list[str]]:
+    """The staged files in runs of one file for each connection; at least one run."""
+    ordered = sorted(files)
+    return [ordered[i : i + connections] for i in range(0, len(ordered), connections)] or [[]]
+
+
+def load_table(df: DataFrame, target: JdbcTarget, table: str, staging: str) -> int:
     """Replace ``table`` by ``df`` and return the row count.
 
-    Give it a table that was written before, such as a snapshot: ``df`` is read
-    once to load and once, without columns, to count.  Each task commits on its
-    own, so a task that is repeated after its commit (a lost executor,
-    speculation) leaves its rows twice; the count shows that, and a rerun
-    starts from an empty table.
+    ``df`` is written as parquet to ``staging``, a folder all executors share,
+    in files of at most ``rows_per_file`` rows.  The load then takes as many
+    files at a time as there are connections, so that a transaction is about one
+    file and a failure repeats no more than that, whatever the table's size.  Each
+    task commits on its own: one that is repeated after its commit (a lost
+    executor, speculation) leaves its rows twice.  The count afterwards shows that,
+    and a rerun starts from an empty table.
+
+    Readers of ``table`` see it grow.  Load into a table of another name and let
+    the database rename it when this returns.
     """
-    jdbc_ready(df).write.format("jdbc").options(**target.write_options(table)).mode(
-        "overwrite"
-    ).save()
-    sent, loaded = df.count(), count_loaded(df.sparkSession, target, table)
+    jdbc_ready(df).write.mode("overwrite").option(
+        "maxRecordsPerFile", target.rows_per_file
+    ).parquet(staging)
+    spark, schema = df.sparkSession, df.schema
+    staged = spark.read.schema(schema).parquet(staging)
+    options = target.write_options(table)
+    for number, files in enumerate(slices(staged.inputFiles(), target.connections)):
+        part = spark.read.schema(schema).parquet(*files) if files else staged
+        mode = "append" if number else "overwrite"
+        part.write.format("jdbc").options(**options).mode(mode).save()
+    sent, loaded = staged.count(), count_loaded(spark, target, table)
     if sent != loaded:
         raise LoadMismatch(f"{table}: {sent} rows sent, {loaded} found; load it again")
     return loaded

@@ -27,7 +27,7 @@ KNOWN = {
         "domain_violations": {"type": 10, "rating": 2},
         "reviews": (195, 674611),
         "installs": 134,
-        "price": (193, 205.57),
+        "price": (193, 36395.97),
         "dates": 125,
         "complete": 296,
         "row_missing_profile": {0: 296, 1: 98, 2: 4, 3: 1, 4: 1},
@@ -48,7 +48,7 @@ KNOWN = {
         "domain_violations": {"type": 97, "rating": 18},
         "reviews": (1949, 67731226),
         "installs": 1334,
-        "price": (1939, 2055.7),
+        "price": (1939, 379959.7),
         "dates": 1250,
         "complete": 1501,
         "row_missing_profile": {0: 1501, 1: 445, 2: 52, 3: 1, 4: 1},
@@ -203,7 +203,9 @@ def test_prepare_from_csv_files(spark, tmp_path, monkeypatch):
     sources.write_csv(apps.drop("app_id").toDF(*sources.APP_HEADERS), app_csv)
     sources.write_csv(reviews.drop("review_id").toDF(*sources.REVIEW_HEADERS), review_csv)
     loaded = {}
-    monkeypatch.setattr(whole, "load_table", lambda df, t, name: loaded.update({name: df.count()}))
+    monkeypatch.setattr(
+        whole, "load_tables", lambda t, *_: loaded.update({n: df.count() for n, df in t.items()})
+    )
     out = plans.prepare(
         spark, app_csv, [review_csv], str(tmp_path / "out"), sources.JdbcTarget("jdbc:x")
     )
@@ -221,6 +223,40 @@ def test_prepare_from_csv_files(spark, tmp_path, monkeypatch):
     assert values["rating"] == "2.9" and values["type"] == "Free"
     for name, frame in out.items():
         assert (frame.count() > 0) != name.startswith("malformed"), name
+    assert {p.name for p in (tmp_path / "out" / "reports").iterdir()} == set(out) - {
+        "apps", "reviews", "malformed_apps", "malformed_reviews"
+    }
+
+
+def test_fits_on_kept_columns_are_the_same(spark):
+    apps = apps_raw(spark, SF["0.001"])
+    assert plans.fit_apps(apps, keep=True) == plans.fit_apps(apps)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+@pytest.mark.parametrize("name", ["type_distribution", "review_length_dist"])
+def test_reports_come_in_their_order(spark, name):
+    rows = [tuple(r) for r in QUERIES[name](spark, SF["0.01"]).collect()]
+    by_count = name == "type_distribution"
+    assert rows == sorted(rows, key=lambda r: (-r[1], r[0]) if by_count else r[0])
+
+
+def test_top_words_come_in_their_order(spark):
+    rows = [tuple(r) for r in QUERIES["top_positive_words"](spark, SF["0.01"]).collect()]
+    counts = [tuple(r) for r in QUERIES["word_counts"](spark, SF["0.01"]).collect()]
+    assert rows == sorted(counts, key=lambda r: (-r[1], r[0]))[:20]
+
+
+def largest_method(df) -> int:
+    """Bytes of the largest generated method of a frame's stages."""
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    return max((stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())), default=0)
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_generated_methods_stay_compilable(spark, name):
+    # The JVM interprets methods from 8,000 bytes on.
+    assert largest_method(QUERIES[name](spark, SF["0.001"])) < 8000
 
 
 # --- physical plans ---------------------------------------------------------------
@@ -281,3 +317,10 @@ def test_modes_count_before_the_shuffle_and_never_sort(spark):
 def test_preview_cleans_only_what_it_shows(spark):
     plan = physical(QUERIES["preview_reviews"](spark, SF["0.001"]))
     assert "TakeOrderedAndProject" in plan and "<=" in plan
+
+
+def test_cleaning_of_a_snapshot_has_a_margin(spark, tmp_path):
+    apps = sources.write_snapshot(apps_raw(spark, SF["0.001"]), str(tmp_path / "apps"))
+    reviews = sources.write_snapshot(reviews_raw(spark, SF["0.001"]), str(tmp_path / "reviews"))
+    for clean in (plans.clean_apps(apps), plans.clean_reviews(reviews)):
+        assert largest_method(clean) < 7000

@@ -171,55 +171,58 @@ def test_jdbc_ready_has_finite_numbers_only(spark):
     ]
 
 
-class Recorder:
-    """Stands in for a frame: keeps what a load asks of it."""
-
-    def __init__(self, rows):
-        self.rows, self.calls = rows, []
-
-    def __getattr__(self, name):
-        def call(*args, **kwargs):
-            self.calls.append((name, args, kwargs))
-            return self
+def loaded_by(monkeypatch, found):
+    """The frames that loads send, by mode, and a database with ``found`` rows."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    from scrubline.sources import jdbc
 
-        return call
+    sent, mode, chosen = [], DataFrameWriter.mode, {}
 
-    @property
-    def write(self):
-        return self
+    def remember(writer, name):
+        chosen[id(writer)] = name
+        return mode(writer, name)
 
-    sparkSession = None
+    monkeypatch.setattr(DataFrameWriter, "mode", remember)
+    monkeypatch.setattr(
+        DataFrameWriter, "save", lambda writer: sent.append((chosen[id(writer)], writer._df))
+    )
+    monkeypatch.setattr(jdbc, "count_loaded", lambda *a: found)
+    return sent
 
-    def count(self):
-        return self.rows
 
+def test_load_sends_bounded_slices_and_checks_the_row_count(spark, tmp_path, monkeypatch):
+    target = JdbcTarget("jdbc:x", connections=2, rows_per_file=10)
+    frame = spark.range(95).repartition(3)
+    sent = loaded_by(monkeypatch, 95)
+    assert sources.load_table(frame, target, "t", str(tmp_path / "t")) == 95
+    assert [mode for mode, _ in sent] == ["overwrite"] + ["append"] * (len(sent) - 1)
+    counts = [part.count() for _, part in sent]
+    assert sum(counts) == 95 and len(counts) >= 5 and max(counts) <= 20
+    assert sorted(r.id for _, part in sent for r in part.collect()) == list(range(95))
+    loaded_by(monkeypatch, 96)
+    with pytest.raises(sources.LoadMismatch, match="95 rows sent, 96 found"):
+        sources.load_table(frame, target, "t", str(tmp_path / "t"))
 
-def test_load_checks_the_row_count(monkeypatch):
-    from scrubline.sources import jdbc
 
-    target = JdbcTarget("jdbc:x")
-    frame = Recorder(3)
-    monkeypatch.setattr(jdbc, "jdbc_ready", lambda df: df)
-    monkeypatch.setattr(jdbc, "count_loaded", lambda *a: 3)
-    assert sources.load_table(frame, target, "t") == 3
-    assert ("mode", ("overwrite",), {}) in frame.calls
-    assert ("options", (), target.write_options("t")) in frame.calls
-    monkeypatch.setattr(jdbc, "count_loaded", lambda *a: 4)
-    with pytest.raises(sources.LoadMismatch, match="3 rows sent, 4 found"):
-        sources.load_table(frame, target, "t")
+def test_an_empty_table_is_loaded_too(spark, tmp_path, monkeypatch):
+    sent = loaded_by(monkeypatch, 0)
+    empty = spark.range(0)
+    assert sources.load_table(empty, JdbcTarget("jdbc:x"), "t", str(tmp_path / "t")) == 0
+    assert sent[0][0] == "overwrite" and sent[0][1].columns == ["id"]
+    assert [part.count() for _, part in sent] == [0] * len(sent)
 
 
-def test_load_tables_stages_each_frame(spark, tmp_path, monkeypatch):
+def test_load_tables_names_and_stages_each_frame(spark, tmp_path, monkeypatch):
     from scrubline.plans import load
 
     seen = {}
 
-    def fake(df, target, name):
-        seen[name] = df.inputFiles()
+    def fake(df, target, name, staging):
+        seen[name] = staging
         return df.count()
 
     monkeypatch.setattr(load, "load_table", fake)
     frames = {"apps": spark.range(3), "reviews": spark.range(5)}
-    counts = plans.load_tables(frames, JdbcTarget("jdbc:x"), str(tmp_path))
+    counts = plans.load_tables(frames, JdbcTarget("jdbc:x"), "out", "_loading")
     assert counts == {"apps": 3, "reviews": 5}
-    assert all(f"/{name}/" in files[0] for name, files in seen.items())
+    assert seen == {"apps_loading": "out/apps", "reviews_loading": "out/reviews"}
