@@ -27,10 +27,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage: what was computed is not computed again when an executor
-    is lost, and every reader sees the same rows.
+    is lost, and every reader sees the same rows.  Written once and read a few
+    times, so in the denser of the fast codecs.
     """
     path = shared_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
