@@ -15,8 +15,10 @@ probabilities do not add up to more than one, the count c of the left part and t
 token's add-one probability p1.
 
 The filter and the token counts are sent to all workers if together they take at
-most ``broadcast_mb``.  A larger model is not sent: the documents' bigrams are joined
-with the counts by a shuffle, with the same formula and the same quantisation.
+most ``broadcast_mb``.  A larger model stays where its segments are: the different
+tokens and bigrams of each chunk of texts go to their segments by a shuffle, probe the
+same filter there, and the answers go back to the chunk.  Filter, formula and scores
+are the same; only the way to the filter differs.
 
 Defined cases: a null or empty text is the end token alone; a null identifier
 counts as the empty text when documents are held out; rows that are repeated are
@@ -32,11 +34,12 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import stage, worker_value
-from .ngrams import START, Lookup, before, mix, per_text, text_chunks
+from .ngrams import Lookup, before, mix, per_text, text_chunks
 
 BASE, HASHES, SEGMENT_BITS, MASS = 1.5, 8, 12, 500.0
 BROADCAST_MB = 512
@@ -94,8 +97,19 @@ def _positions(keys: np.ndarray, level: int, bits: int) -> Iterator[np.ndarray]:
         at = (at + step) & low
 
 
-def filter_segments(counts: DataFrame, bits: int) -> np.ndarray:
-    """The filter: a row of ``bits / 8`` bytes per segment.  Its size was checked before."""
+def segment_row(keys: np.ndarray, n: np.ndarray, bits: int) -> np.ndarray:
+    """The ``bits / 8`` bytes of one segment, from its bigrams' keys and counts."""
+    levels = np.searchsorted(LEVELS, n, side="right")
+    cells = np.zeros(bits, bool)
+    for level in range(1, int(levels.max(initial=0)) + 1):
+        keys, levels = keys[levels >= level], levels[levels >= level]
+        for at in _positions(keys, level, bits):
+            cells[at] = True
+    return np.packbits(cells, bitorder="little")
+
+
+def filter_table(counts: DataFrame, bits: int) -> DataFrame:
+    """The filter: ``segment`` and ``bits``, its ``bits / 8`` bytes.  Rows of one segment add up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = list(batches)  # of one task
@@ -105,35 +119,34 @@ def filter_segments(counts: DataFrame, bits: int) -> np.ndarray:
             np.concatenate([b.column(c).to_numpy() for b in held]) for c in ("segment", "key", "n")
         )
         order = np.argsort(segment, kind="stable")
-        segment, keys = segment[order], keys[order].view(np.uint64)
-        levels = np.searchsorted(LEVELS, n[order], side="right")
+        segment, keys, n = segment[order], keys[order].view(np.uint64), n[order]
         first = np.flatnonzero(np.append(True, segment[1:] != segment[:-1]))
         for low, high in zip(first, np.append(first[1:], len(segment))):
-            cells = np.zeros(bits, bool)
-            k, top = keys[low:high], levels[low:high]
-            for level in range(1, int(top.max()) + 1):
-                k, top = k[top >= level], top[top >= level]
-                for at in _positions(k, level, bits):
-                    cells[at] = True
-            packed = np.packbits(cells, bitorder="little").tobytes()
+            packed = segment_row(keys[low:high], n[low:high], bits).tobytes()
             yield pa.RecordBatch.from_arrays([pa.array(segment[low : low + 1]), pa.array([packed])], names=["segment", "bits"])
 
-    table = np.zeros((SEGMENTS, bits // 8), np.uint8)
     grams = counts.filter(is_bigram()).select("segment", "key", "n")
-    found = grams.mapInArrow(run, "segment int, bits binary").toArrow()
+    return grams.mapInArrow(run, "segment int, bits binary")
+
+
+def filter_segments(counts: DataFrame, bits: int) -> np.ndarray:
+    """The whole filter, a row for each segment.  Its size was checked before."""
+    table = np.zeros((SEGMENTS, bits // 8), np.uint8)
+    found = filter_table(counts, bits).toArrow()
     for segment, part in zip(found["segment"].to_pylist(), found["bits"]):
         table[segment] |= np.frombuffer(part.as_buffer(), np.uint8)
     return table
 
 
 def probe(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """The quantised counts of bigram keys; zero for those never seen."""
-    bits = table.shape[1] * 8
+    """The quantised counts of bigram keys; zero for those never seen.  ``table`` holds
+    all segments, or the one that all keys belong to."""
+    bits, last = table.shape[1] * 8, np.uint64(len(table) - 1)
     flat = table.reshape(-1)
     level = np.zeros(len(keys), np.int64)
     left = np.arange(len(keys))
     for now in range(1, len(LEVELS) + 1):
-        base = (keys[left] >> np.uint64(64 - SEGMENT_BITS)) * np.uint64(bits // 8)
+        base = (keys[left] >> np.uint64(64 - SEGMENT_BITS) & last) * np.uint64(bits // 8)
         x, hit = keys[left], np.arange(len(left))
         for at in _positions(x, now, bits):
             at = at[hit]
@@ -154,7 +167,7 @@ def _score_chunk(model: dict, keys: np.ndarray, ends: np.ndarray) -> list[np.nda
     p1 = (c + 1) / (model["total"] + model["distinct"] + 1)
     # frequent bigrams have many levels and many places, so each is probed once
     grams, place = np.unique(bigram_keys(before(keys, ends), keys), return_inverse=True)
-    q = probe(model["filter"], grams)[place]
+    q = model["bigrams"](grams)[place]
     # q <= c holds but for the filter's errors
     q = np.minimum(q, np.minimum(c, context))
     p = (q + MASS * p1) / (context + MASS)
@@ -162,11 +175,18 @@ def _score_chunk(model: dict, keys: np.ndarray, ends: np.ndarray) -> list[np.nda
     return [counts, per_text((c > 0).astype(np.int64), ends), per_text(np.log10(p1), ends), per_text(np.log10(p), ends)]
 
 
+def _scored_schema(rows: DataFrame) -> str:
+    return f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, n_known long, base_score double, score double"
+
+
 def _score_with_filter(rows: DataFrame, model: dict) -> DataFrame:
     name, sent = uuid.uuid4().hex, rows.sparkSession.sparkContext.broadcast(model)
 
+    def with_lookups(model: dict) -> dict:
+        return model | {"tokens": Lookup(*model["tokens"]), "bigrams": lambda grams: probe(model["filter"], grams)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = worker_value(("bloom", name), lambda: sent.value | {"tokens": Lookup(*sent.value["tokens"])})
+        held = worker_value(("bloom", name), lambda: with_lookups(sent.value))
         for batch in batches:
             low = 0
             for keys, ends in text_chunks(t.as_py() for t in batch.column("text")):
@@ -177,53 +197,73 @@ def _score_with_filter(rows: DataFrame, model: dict) -> DataFrame:
                     [part, *map(pa.array, out)], names=["row", "n_tokens", "n_known", "base_score", "score"]
                 )
 
-    schema = f"row {rows.schema['row'].dataType.simpleString()}, n_tokens long, n_known long, base_score double, score double"
-    return rows.mapInArrow(run, schema).select("row.*", "n_tokens", "n_known", "base_score", "score")
+    return rows.mapInArrow(run, _scored_schema(rows)).select("row.*", "n_tokens", "n_known", "base_score", "score")
 
 
-def _score_with_joins(rows: DataFrame, counts: DataFrame, documents: int, total: int, distinct: int) -> DataFrame:
-    """The same scores for a model of any size: bigrams of documents joined with counts."""
+def _asked(keys: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The different keys whose counts a chunk of texts needs, by segment."""
+    return np.unique(np.concatenate([token_keys(keys), bigram_keys(before(keys, ends), keys)]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _score_at_segments(rows: DataFrame, counts: DataFrame, bits: int, model: dict) -> DataFrame:
+    """The same scores for a filter of any size: no task holds more of it than a segment."""
+    row_type = rows.schema["row"].dataType
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each chunk its texts, and for each segment the keys it asks there."""
+        chunk = TaskContext.get().partitionId() << 32
         for batch in batches:
             low = 0
-            for keys, ends in text_chunks(t.as_py() for t in batch.column("text")):
-                left = before(keys, ends)
-                grams = np.stack([bigram_keys(left, keys), token_keys(keys), np.where(left == START, START, token_keys(left))])
-                for text, (a, b) in enumerate(zip(np.concatenate([[0], ends[:-1]]), ends)):
-                    own, times = np.unique(grams[:, a:b], axis=1, return_counts=True)
-                    at = pa.array(np.full(len(times), low + text))
-                    columns = [batch.column("row").take(at), *[pa.array(x.view(np.int64)) for x in own], pa.array(times)]
-                    yield pa.RecordBatch.from_arrays(columns, names=["row", "gram", "token", "context", "times"])
+            for keys, ends in text_chunks((t.as_py() for t in batch.column("text")), size=COUNT_BYTES):
+                part = batch.slice(low, len(ends))
                 low += len(ends)
-
-    row_type = rows.schema["row"].dataType.simpleString()
-    grams = rows.mapInArrow(run, f"row {row_type}, gram long, token long, context long, times long")
-
-    def counted(key: str, n: str) -> DataFrame:
-        return counts.select(F.col("key").alias(key), F.col("n").alias(n))
-
-    start = int(START.astype(np.int64))
-    quantised = F.array_max(F.filter(F.array(*map(F.lit, LEVELS)), lambda least: least <= F.col("q")))
-    context = F.when(F.col("context") == start, F.lit(documents)).otherwise(F.coalesce("h", F.lit(0)))
-    p1 = (F.col("c") + 1) / F.lit(float(total + distinct + 1))
-    return (
-        grams.join(counted("gram", "q"), "gram", "left")
-        .join(counted("token", "c"), "token", "left")
-        .join(counted("context", "h"), "context", "left")
-        .withColumn("q", F.coalesce(quantised, F.lit(0)))
-        .withColumn("c", F.coalesce("c", F.lit(0)))
-        .withColumn("h", context)
-        .withColumn("p1", p1)
-        .groupBy("row")
-        .agg(
-            F.sum("times").alias("n_tokens"),
-            F.sum(F.when(F.col("c") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("times") * F.log10("p1")).alias("base_score"),
-            F.sum(F.col("times") * F.log10((F.col("q") + MASS * F.col("p1")) / (F.col("h") + MASS))).alias("score"),
-        )
-        .select("row.*", "n_tokens", "n_known", "base_score", "score")
-    )
+                asked = _asked(keys, ends)
+                segment, first = np.unique((asked >> np.uint64(64 - SEGMENT_BITS)).astype(np.int32), return_index=True)
+                split = [a.tobytes() for a in np.split(asked, first[1:])]
+                for size, columns in (
+                    (len(ends), [pa.nulls(len(ends), pa.int32()), pa.nulls(len(ends), pa.binary()), part.column("row"), part.column("text")]),
+                    (len(split), [pa.array(segment), pa.array(split), pa.nulls(len(split), part.column("row").type), pa.nulls(len(split), part.column("text").type)]),
+                ):
+                    columns = [pa.array(np.full(size, chunk)), *columns]
+                    yield pa.RecordBatch.from_arrays(columns, names=["chunk", "segment", "keys", "row", "text"])
+                chunk += 1
+
+    def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+        row = np.zeros((1, bits // 8), np.uint8)
+        for part in known["bits"].drop_null():
+            row |= np.frombuffer(part.as_buffer(), np.uint8)
+        exact = known.filter(known["bits"].is_null())
+        keys, n = (exact[c].to_numpy().astype(np.int64) for c in ("key", "n"))
+        tokens = Lookup(keys.view(np.uint64), n)
+        parts = [np.frombuffer(part.as_buffer(), np.uint64) for part in asked["keys"]]
+        wanted = np.concatenate([np.zeros(0, np.uint64), *parts])
+        grams = wanted & _ONE == 1
+        values = np.empty(len(wanted), np.int64)
+        values[grams], values[~grams] = probe(row, wanted[grams]), tokens(wanted[~grams])
+        found = [v.tobytes() for v in np.split(values, np.cumsum([len(p) for p in parts])[:-1])] if parts else []
+        return pa.table({"chunk": asked["chunk"], "segment": asked["segment"], "found": pa.array(found, pa.binary())})
+
+    def score_chunk(texts: pa.Table, answers: pa.Table) -> pa.Table:
+        [(keys, ends)] = text_chunks((t.as_py() for t in texts["text"]), size=1 << 62)
+        asked, parts = _asked(keys, ends), answers.sort_by("segment")["found"]
+        n = np.concatenate([np.frombuffer(part.as_buffer(), np.int64) for part in parts])
+
+        def value(keys: np.ndarray) -> np.ndarray:
+            return n[np.searchsorted(asked, keys)]
+
+        out = _score_chunk(model | {"tokens": value, "bigrams": value}, keys, ends)
+        return pa.table([texts["row"], *map(pa.array, out)], names=["row", "n_tokens", "n_known", "base_score", "score"])
+
+    schema = f"chunk long, segment int, keys binary, row {row_type.simpleString()}, text binary"
+    chunks = stage(rows.mapInArrow(ask, schema), "chunks")
+    asked = chunks.filter("segment is not null").select("chunk", "segment", "keys")
+    tokens = counts.filter(~is_bigram()).select("segment", F.lit(None).cast("binary").alias("bits"), "key", "n")
+    known = tokens.unionByName(filter_table(counts, bits), allowMissingColumns=True)
+    # a segment without training grams still answers: none are known
+    answers = asked.groupBy("segment").cogroup(known.groupBy("segment")).applyInArrow(answer, "chunk long, segment int, found binary")
+    texts = chunks.filter("segment is null").select("chunk", "row", "text")
+    scored = texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score_chunk, _scored_schema(rows))
+    return scored.select("row.*", "n_tokens", "n_known", "base_score", "score")
 
 
 def score(
@@ -247,17 +287,11 @@ def score(
         F.struct(*kept, F.monotonically_increasing_id().alias("_at")).alias("row"),
         F.col(text_col).cast("binary").alias("text"),
     )
+    model = {"documents": documents, "total": total, "distinct": distinct}
     if (SEGMENTS * bits / 8 + 16 * distinct) / 1e6 <= broadcast_mb:
         known = counts.filter(~is_bigram()).select("key", "n").toArrow()
         tokens = known["key"].to_numpy().astype(np.int64).view(np.uint64), known["n"].to_numpy().astype(np.int64)
-        model = {
-            "tokens": tokens,
-            "filter": filter_segments(counts, bits),
-            "documents": documents,
-            "total": total,
-            "distinct": distinct,
-        }
-        scored = _score_with_filter(rows, model)
+        scored = _score_with_filter(rows, model | {"tokens": tokens, "filter": filter_segments(counts, bits)})
     else:
-        scored = _score_with_joins(rows, counts, documents, total, distinct)
+        scored = _score_at_segments(rows, counts, bits, model)
     return scored.select(*kept, "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

@@ -261,6 +261,18 @@ def test_bloom_scores(spark, docs, odd):
     assert lm_bloom.score(odd.limit(0), F.lit(True), ["doc_id"]).count() == 0
 
 
+def test_bloom_scores_do_not_depend_on_the_way_to_the_filter(spark, docs, odd):
+    marked = docs.withColumn("held_out", lm_bloom.held_out(F.col("doc_id")))
+    for df, training in ((marked, ~F.col("held_out")), (odd, F.lit(True)), (marked.limit(50), F.lit(False))):
+        sent, shuffled = (
+            lm_bloom.score(df, training, ["doc_id"], broadcast_mb=mb).toPandas().sort_values(["doc_id", "n_tokens"], ignore_index=True) for mb in (512, 0)
+        )
+        assert len(sent) == len(shuffled)
+        for column in ("n_tokens", "n_known", "train_tokens", "base_score", "score"):
+            assert shuffled[column].tolist() == pytest.approx(sent[column].tolist(), rel=1e-12)
+    assert lm_bloom.score(odd.limit(0), F.lit(True), ["doc_id"], broadcast_mb=0).count() == 0
+
+
 def test_urls(spark):
     pages = [(1, "https://u@News.Example.com:80/a/b?q#f", "2024-02-01"), (2, "http://example.com/", "2024-02-01"), (3, None, "2024-02-01"),
              (4, "", "2024-02-01"), (5, "http://news.example.com/a", "2023-01-01"), (5, "http://news.example.com/c", None)]
