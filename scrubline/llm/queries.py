@@ -40,6 +40,11 @@ def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_matches(table(spark, sf_dir, "documents"))
 
 
+def op5_licence_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same templates against every run of words, whatever the lines."""
+    return licences.licence_passages(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents before and after three edits of each, whose places
     and lengths follow from the identifier."""
@@ -128,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_source_mix,
         op4_best_fit_packing,
         op5_licence_scan,
+        op5_licence_passages,
         op6_token_counts,
         op7_rotated_codes_search,
         op8_exact_dedup,

@@ -198,6 +198,55 @@ def test_licences(spark):
     assert not any(d in (2, 3) for d, _, _ in got) and licences.licence_matches(df.limit(0)).count() == 0
 
 
+def test_licence_passages(spark):
+    import re
+    import textwrap
+
+    notice = "(c) 2021 X. Released under the MIT License. All rights reserved."
+    filler = "some other words of a document " * 40
+    texts = {i: f"{filler}\n" + "\n".join(" * " + x for x in textwrap.wrap(t, 50, break_long_words=False)) + f"\n{filler}" for i, t in enumerate(licences.TEMPLATES.values())}
+    texts |= {100: notice, 101: "no licence here", 102: f"{notice} {filler} {notice}"}
+    df = spark.createDataFrame([*texts.items(), (103, None), (104, "")], "doc_id long, text string")
+    got = {tuple(r) for r in licences.licence_passages(df).select("doc_id", "licence", "start", "words", "dice").collect()}
+    for i, (name, t) in enumerate(licences.TEMPLATES.items()):
+        size = len(re.sub("[^A-Za-z0-9]+", " ", t).split())
+        assert (i, name, 241, size, 1.0) in got
+    assert {r for r in got if r[0] in (100, 102)} == {
+        (100, "mit-line", 4, 5, 1.0), (102, "mit-line", 4, 5, 1.0), (102, "mit-line", 255, 5, 1.0),
+    }
+    assert not any(r[0] in (101, 103, 104) for r in got) and licences.licence_passages(df.limit(0)).count() == 0
+
+
+def test_licence_passages_against_all_runs(spark):
+    random.seed(2)
+    templates = {"t1": "a bb c a bb ddd", "t2": "the bb c ee under a c ee under the fff"}
+    texts = [" ".join(random.choices(["a", "bb", "c", "ddd", "ee", "the", "under", "a bb c", "c ee under"], k=30)) for _ in range(60)]
+    texts += [f"x {templates['t1']} {templates['t1']} y a bb c a {templates['t2'][:-8]} z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+
+    def bigrams(words):
+        return list(zip(words, words[1:]))
+
+    want = set()
+    for i, text in enumerate(texts):
+        grams = bigrams(text.split())
+        for name, t in templates.items():
+            asked = Counter(bigrams(t.split()))
+            m, every = asked.total(), []
+            for a in range(len(grams)):
+                for b in range(a + 1, len(grams) + 1):
+                    dice = round(2 * (Counter(grams[a:b]) & asked).total() / (b - a + m), 6)
+                    if dice >= licences.LEAST:
+                        every.append((-dice, a, b - a))
+            held = []
+            for run in sorted(every):
+                if not any(run[1] <= x[1] + x[2] and x[1] <= run[1] + run[2] for x in held):
+                    held.append(run)
+            want |= {(i, a + 1, n + 1, name, -d) for d, a, n in held}
+    got = {tuple(r) for r in licences.licence_passages(df, templates=templates).collect()}
+    assert got == want and len(want) > 20
+
+
 def test_token_counts_after_edits():
     files = token_counts.tokenizer_files()
     split = token_counts.splitter(files)
