@@ -178,6 +178,18 @@ def test_quality(spark, docs, odd):
     assert quality.keep_good(odd.limit(0), labels).count() == 0
 
 
+def test_quality_of_short_texts(spark):
+    random.seed(4)
+    good = [" ".join(random.choices(["we", "go", "to", "the", "old", "house", "again", "."], k=n)) for n in [*range(1, 15)] * 12 + [60] * 60]
+    junk = ["q## zz&&& x9x9 | ~~", "@@ || %% 77&& $$$$ ##q", "Re*** ha$$$ an&&& 0| | ;;- q%q% ** ^^ |||"]
+    rows = [(i, t, "en") for i, t in enumerate(good)] + [(1000 + i, t, "en") for i, t in enumerate(junk)] + [(2000, "", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(good))], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.classify(df, labels, ["doc_id"]).filter("keep").collect()}
+    assert not kept & {1000, 1001, 1002} and 2000 in kept
+    assert len(kept & set(range(len(good)))) >= 0.97 * len(good)
+
+
 def test_kneser_ney_probabilities_add_up(spark):
     text = "a b a c a b b c a . " * 20
     tables = quality.train(spark.createDataFrame([(text,), ("b c a a b",)], "text string"))
