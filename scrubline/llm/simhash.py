@@ -213,8 +213,9 @@ def fingerprint_links(points: DataFrame, distance: int = 4) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, kept: list[str], id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4
 ) -> DataFrame:
-    """The columns ``kept`` of every document, ``fp`` and ``component_id``, the
-    smallest identifier that can be reached over links."""
+    """The columns ``kept`` of every document, ``fp``, ``component_id``, the smallest
+    identifier that can be reached over links, and ``root``, the fingerprint that
+    tells its component apart."""
     prints = stage(with_fingerprint(docs, kept, text_col, shingle), "fingerprints")
     points = stage(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")), "points")
     nearest = components(fingerprint_links(points, distance))
@@ -222,8 +223,8 @@ def near_duplicates(
         "fp", "least_id", F.coalesce("v", "fp").alias("root")
     )
     least = root.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = stage(root.join(least, "root").select("fp", "component_id"), "classes")
-    return prints.join(classes, "fp").select(*kept, "fp", "component_id")
+    classes = stage(root.join(least, "root").select("fp", "component_id", "root"), "classes")
+    return prints.join(classes, "fp").select(*kept, "fp", "component_id", "root")
 
 
 def keep_one_of_each(
@@ -234,9 +235,5 @@ def keep_one_of_each(
     rows = stage(docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("at")), "documents")
     slim = rows.select(F.col(f"row.`{id_col}`").alias("id"), F.col(f"row.`{text_col}`").alias("text"), "at")
     found = near_duplicates(slim, ["id", "at"], "id", "text", shingle, distance)
-    # a group without identifiers is still a group: its fingerprints' class is null, so the fingerprint tells it apart
-    group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fp"))]
-    best = found.groupBy(*[g.alias(f"g{i}") for i, g in enumerate(group)]).agg(
-        F.min(F.struct(F.col("id").isNull(), "id", "at")).alias("best")
-    )
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "at")).alias("best"))
     return rows.join(best.select(F.col("best.at").alias("at")), "at", "left_semi").select("row.*")

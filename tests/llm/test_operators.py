@@ -104,6 +104,17 @@ def test_near_duplicates_odd_rows(odd):
     assert simhash.keep_one_of_each(odd.limit(0)).count() == 0
 
 
+def test_near_duplicates_are_grouped_by_component(spark):
+    words = [f"word{i}" for i in range(200)]
+    near = [" ".join(words), " ".join([*words[:-1], "other"])]
+    one_id = [(5, "alpha beta gamma delta epsilon zeta"), (5, "one two three four five six seven")]
+    df = spark.createDataFrame([*one_id, *[(None, t) for t in near]], "doc_id long, text string")
+    prints = [simhash.fingerprint(t.encode()) for t in near]
+    assert prints[0] != prints[1] and (prints[0] ^ prints[1]).bit_count() <= 4
+    kept = [r.text for r in simhash.keep_one_of_each(df).collect()]
+    assert {t for _, t in one_id} <= set(kept) and len(kept) == 3
+
+
 def test_targets():
     assert mixing.targets([10, 100, 100], [1, 2, 3]) == pytest.approx([30, 72, 108])
     assert mixing.targets([0, 0], [1, 2]) == [0, 0] and mixing.targets([], []) == []
