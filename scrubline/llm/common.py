@@ -18,6 +18,13 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def lower_ascii(text: Column) -> Column:
+    """A-Z as a-z and all else as it is.  ``lower`` does that to texts of ASCII alone."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    ascii_only = F.octet_length(text) == F.char_length(text)
+    return F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, upper, upper.lower()))
+
+
 def words(text: Column) -> Column:
     """The words of a text, in order; null and blank texts have none."""
     return F.array_remove(F.split(text_or_empty(text), SPACE), "")

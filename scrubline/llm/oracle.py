@@ -73,5 +73,33 @@ best AS (
 )
 SELECT page_id, fetched_on, coalesce(action = 'block', false) AS blocked, matched_key, listed_on
 FROM capture LEFT JOIN best USING (rid)
+""",
+    "op11_benchmark_decontamination": r"""
+WITH doc AS (
+  SELECT doc_id, row_number() OVER () AS rid, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w
+  FROM documents
+),
+item AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x != '') AS w
+  FROM benchmark
+),
+part AS (
+  SELECT item, w[i : i + 9] AS p FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item WHERE len(w) > 0)
+),
+held AS (SELECT DISTINCT item, len(p) AS n, array_to_string(p, ' ') AS part FROM part),
+place AS (
+  SELECT rid, n, i, array_to_string(w[i : i + n - 1], ' ') AS part
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc, (SELECT DISTINCT n FROM held) WHERE len(w) >= n)
+),
+found AS (SELECT rid, i, n, item FROM place JOIN held USING (n, part)),
+hit AS (SELECT rid, count(DISTINCT spot) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + n)) AS spot FROM found) GROUP BY rid),
+listed AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT rid, item FROM found) GROUP BY rid
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (rid) LEFT JOIN listed USING (rid)
 """,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
+from . import decontaminate, exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
 
 SOURCE_WEIGHTS = [1.0, 2.0, 3.0]
 
@@ -125,6 +125,19 @@ def op10_bloom_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_bloom.score(docs, ~F.col("held_out"), ["doc_id", "held_out"])
 
 
+def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = decontaminate.contamination(docs, items, ["doc_id"])
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -139,5 +152,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_exact_dedup,
         op9_dated_url_lists,
         op10_bloom_lm_scores,
+        op11_benchmark_decontamination,
     )
 }

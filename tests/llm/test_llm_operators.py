@@ -41,7 +41,7 @@ def test_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.sql(f"create view {t} as select * from '{SF}/{t}.parquet'")
     ours, theirs = QUERIES[name](spark, SF), con.sql(ORACLE[name])
     names = sorted(ours.columns)
