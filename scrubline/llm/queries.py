@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
+from . import align, decontaminate, exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
 
 SOURCE_WEIGHTS = [1.0, 2.0, 3.0]
 
@@ -138,6 +138,11 @@ def op11_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     )
 
 
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.alignment(table(spark, sf_dir, "documents"), ["doc_id"], digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -153,5 +158,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_dated_url_lists,
         op10_bloom_lm_scores,
         op11_benchmark_decontamination,
+        op12_tokenizer_alignment,
     )
 }
