@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from .common import stage, worker_value
 from .packing import UNUSUAL, load
 
-CHUNK_BYTES, SEGMENT_PAIRS, LINKS_AT_ONCE = 8 << 20, 2 << 20, 1 << 21
+CHUNK_BYTES, SEGMENT_PAIRS, LINKS_AT_ONCE, TEXTS_AT_ONCE = 3 << 20, 2 << 20, 1 << 20, 64
 BITS = np.uint64(16)  # of a B identifier within a pair
 
 
@@ -95,6 +95,10 @@ class Pair:
 
     def encode(self, texts: list[bytes | None]) -> Iterator[tuple[list[int], list[int]]]:
         """The identifiers of both tokenizers; none where their bytes are not the text's."""
+        for low in range(0, len(texts), TEXTS_AT_ONCE):
+            yield from self._encode(texts[low : low + TEXTS_AT_ONCE])
+
+    def _encode(self, texts: list[bytes | None]) -> Iterator[tuple[list[int], list[int]]]:
         plain = [(t or b"").decode("utf-8", "replace") for t in texts]
         for raw, text, b in zip(texts, plain, self.model.encode(plain, num_threads=1)):
             if not raw:
@@ -135,14 +139,18 @@ def links(a: np.ndarray, b: np.ndarray, a_stop: np.ndarray, b_stop: np.ndarray,
     na, nb = a_stop - a_from, b_stop - b_from
     size = na * nb
     high = doc.astype(np.uint64) << np.uint64(32)
+
+    def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        return left.astype(np.uint64) << BITS | right
+
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     one = size == 1
-    parts.append(_counted(high[one] | a[a_from[one]] << BITS | b[b_from[one]]))
+    parts.append(_counted(high[one] | pair(a[a_from[one]], b[b_from[one]])))
     for g in np.flatnonzero(size > LINKS_AT_ONCE):
         # a long group: different identifiers first
         ua, ca = np.unique(a[a_from[g] : a_stop[g]], return_counts=True)
         ub, cb = np.unique(b[b_from[g] : b_stop[g]], return_counts=True)
-        parts.append(((high[g] | ua[:, None] << BITS | ub[None, :]).ravel(), (ca[:, None] * cb[None, :]).ravel()))
+        parts.append(((high[g] | pair(ua[:, None], ub[None, :])).ravel(), (ca[:, None] * cb[None, :]).ravel()))
     rest = np.flatnonzero((size > 1) & (size <= LINKS_AT_ONCE))
     blocks = np.cumsum(size[rest]) // LINKS_AT_ONCE
     for group in np.split(rest, np.flatnonzero(np.diff(blocks)) + 1):
@@ -150,7 +158,7 @@ def links(a: np.ndarray, b: np.ndarray, a_stop: np.ndarray, b_stop: np.ndarray,
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
         wide = np.repeat(nb[group], n)
         left = a[np.repeat(a_from[group], n) + at // wide]
-        parts.append(_counted(np.repeat(high[group], n) | left << BITS | b[np.repeat(b_from[group], n) + at % wide]))
+        parts.append(_counted(np.repeat(high[group], n) | pair(left, b[np.repeat(b_from[group], n) + at % wide])))
     keys, times = (np.concatenate(x) for x in zip(*parts))
     return _counted(keys, times)
 
@@ -173,12 +181,13 @@ class Chunk:
         counts = np.zeros((2, len(texts)), np.int64)
         for i, both in enumerate(pair.encode(texts)):
             for side in (0, 1):
-                ids[side].append(np.array(both[side], np.uint64))
+                ids[side].append(np.array(both[side], np.uint32))
                 counts[side, i] = len(both[side])
-        empty = [np.zeros(0, np.uint64)]
+        empty = [np.zeros(0, np.uint32)]
         self.a, self.b = (np.concatenate(x + empty) for x in ids)
+        del ids
         self.n_a, self.n_b = counts
-        ends = [np.cumsum(table[x.astype(np.int64)]) for table, x in ((pair.a_len, self.a), (pair.b_len, self.b))]
+        ends = [np.cumsum(table[x]) for table, x in ((pair.a_len, self.a), (pair.b_len, self.b))]
         self.a_stop, self.b_stop = cut(*ends)
         # groups never cross documents, as both tokenizers end with each
         stops = np.searchsorted(self.a_stop, np.cumsum(self.n_a), side="right")
