@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, decontaminate, exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
+from . import (
+    align,
+    decontaminate,
+    exact,
+    licences,
+    lm_bloom,
+    mixing,
+    neighbours,
+    packing,
+    quality,
+    simhash,
+    spelling,
+    token_counts,
+    url_lists,
+)
 
 SOURCE_WEIGHTS = [1.0, 2.0, 3.0]
 
@@ -143,6 +157,11 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling.word_counts(table(spark, sf_dir, "documents"), modulus=97)
+    return spelling.variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -159,5 +178,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_bloom_lm_scores,
         op11_benchmark_decontamination,
         op12_tokenizer_alignment,
+        op13_spelling_variants,
     )
 }
