@@ -42,11 +42,11 @@ from pyspark.sql import functions as F
 from .common import lower_ascii, stage, text_or_empty
 
 LETTERS = "A-Za-zÀ-ÿ"
-SUBTREE, BUCKET_ROWS, BLOCK = 20_000, 100_000, 1 << 18
+SUBTREE, BUCKET_ROWS, BLOCK = 20_000, 50_000, 1 << 15
 # A-z from common to rare, which makes upper levels of the trie split well.
 BY_FREQUENCY = "etaoinsrhldcumfpgwybvkxjqz"
 OTHERS = "".join(map(chr, range(0xC0, 0x100)))
-LEVELS = 32
+LEVELS, MOST = 32, 60
 
 
 def letter_runs(text: Column) -> Column:
@@ -118,7 +118,7 @@ def letter_counts(words: list[bytes]) -> np.ndarray:
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     letters = np.frombuffer(b"".join(words), np.uint8)
     place = np.repeat(np.arange(len(words)), sizes) * LEVELS + level[letters]
-    return np.bincount(place, minlength=len(words) * LEVELS).reshape(-1, LEVELS)
+    return np.bincount(place, minlength=len(words) * LEVELS).reshape(-1, LEVELS).astype(np.int32)
 
 
 class Trie:
@@ -128,6 +128,7 @@ class Trie:
     def __init__(self, counts: np.ndarray):
         self.order = np.lexsort(counts.T[::-1])
         self.counts = counts[self.order]
+        self.small = np.minimum(self.counts[:, 1:], MOST).astype(np.int8)
         self.base = int(self.counts.max(initial=0)) + 2
         node = np.zeros(len(counts), np.int64)
         self.children, self.first, self.size = [], [], []
@@ -149,6 +150,7 @@ class Trie:
         """``(query, row)`` wherever a row has at most one letter more, and at most
         ``deficit`` less, than the query; the first column has to agree."""
         last = self.counts.shape[1] - 1
+        small = np.minimum(queries[:, 1:], MOST).astype(np.int8)
         starts = range(0, len(queries), BLOCK) if len(self.counts) else []
         stack = []
         for low in starts:
@@ -173,31 +175,39 @@ class Trie:
             size = self.size[level][node]
             done = (size == 1) | (level == last)
             if done.any():
-                yield self._rows(queries, q[done], self.first[level][node[done]], size[done], deficit)
+                yield from self._rows(small, q[done], self.first[level][node[done]], size[done], deficit)
             if not done.all():
                 stack.append((level + 1, *(x[~done] for x in (q, node, surplus, less))))
 
-    def _rows(self, queries, q, first, size, deficit) -> tuple[np.ndarray, np.ndarray]:
+    def _rows(
+        self, queries: np.ndarray, q: np.ndarray, first: np.ndarray, size: np.ndarray, deficit: np.ndarray
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """The rows below nodes that were reached, by all their counts.  Counts above
+        ``MOST`` are taken for equal, as the words themselves are compared later."""
         q = np.repeat(q, size)
         row = np.repeat(first, size) + np.arange(len(q)) - np.repeat(np.cumsum(size) - size, size)
-        change = self.counts[row] - queries[q]
-        near = (np.maximum(change, 0).sum(1) <= 1) & (np.maximum(-change, 0).sum(1) <= deficit[q])
-        return q[near], self.order[row[near]]
+        for low in range(0, len(q), BLOCK):
+            some, rows = q[low : low + BLOCK], row[low : low + BLOCK]
+            change = self.small[rows] - queries[some]
+            more, less = (change > 0) * change, (change < 0) * change
+            near = (more.sum(1, dtype=np.int16) <= 1) & (less.sum(1, dtype=np.int16) >= -deficit[some].astype(np.int16))
+            yield some[near], self.order[rows[near]]
 
 
-def one_letter_apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
-    """Whether each ``y`` is ``x`` with one letter replaced or inserted.  ``y`` has as many letters or one more."""
+def one_letter_apart(words: list[bytes], size: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether each word ``y`` is the word ``x`` with one letter replaced or inserted.
+    ``y`` has as many letters or one more."""
     found = np.zeros(len(x), bool)
-    size = np.fromiter(map(len, y), np.int64, len(y))
-    order = np.argsort(size, kind="stable")
+    order = np.argsort(size[y], kind="stable")
+    sorted_size = size[y[order]]
     low = 0
     while low < len(order):
-        # words of like lengths share a block
-        high = int(np.searchsorted(size[order], size[order[low]], side="right"))
-        high = min(high, low + max(1, BLOCK * 16 // int(size[order[low]])))
-        at, n = order[low:high], int(size[order[low]])
-        a, b = (np.array([w[i] for i in at], f"S{n}").view(np.uint8).reshape(-1, n) for w in (x, y))
-        length = np.fromiter((len(x[i]) for i in at), np.int64, len(at))
+        # words of one length share a block
+        n = int(sorted_size[low])
+        high = min(int(np.searchsorted(sorted_size, n, side="right")), low + max(1, BLOCK * 32 // n))
+        at = order[low:high]
+        a, b = (np.array([words[i] for i in side[at]], f"S{n}").view(np.uint8).reshape(-1, n) for side in (x, y))
+        length = size[x[at]]
         differs = a != b
         start = np.where(differs.any(1), differs.argmax(1), n)
         # an inserted letter shifts what follows it
@@ -212,14 +222,15 @@ def one_letter_apart(x: list[bytes], y: list[bytes]) -> np.ndarray:
 def near_in_bucket(subtree: np.ndarray, role: np.ndarray, words: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places ``(query, member)`` of near words, each pair once."""
     _, number = np.unique(subtree, return_inverse=True)
-    counts = np.column_stack([number, letter_counts(words)])
+    counts = np.column_stack([number.astype(np.int32), letter_counts(words)])
+    size = np.fromiter(map(len, words), np.int64, len(words))
     member = np.flatnonzero(role == 0)
     trie = Trie(counts[member])
     for q, row in trie.search(counts, role < 2):
         m = member[row]
         twice = (role[q] == 0) & (q >= m)
         q, m = q[~twice], m[~twice]
-        good = one_letter_apart([words[i] for i in q], [words[i] for i in m])
+        good = one_letter_apart(words, size, q, m)
         yield q[good], m[good]
 
 

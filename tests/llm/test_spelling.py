@@ -86,8 +86,9 @@ def test_one_letter_apart():
     y = [random.choice([w[1:] + "ab", w + "a", "b" + w, w[:2] + "a" + w[2:], w[:-1] + "b", w]) for w in x]
     kept = [(a, b) for a, b in zip(x, y) if 0 <= len(b) - len(a) <= 1]
     want = [b in neighbours({a, b})[a] for a, b in kept]
-    a, b = ([w.encode() for w in side] for side in zip(*kept))
-    assert spelling.one_letter_apart(a, b).tolist() == want and 0 < sum(want) < len(want)
+    words = [w.encode() for pair in kept for w in pair]
+    at, size = np.arange(len(kept)) * 2, np.array([len(w) for w in words])
+    assert spelling.one_letter_apart(words, size, at, at + 1).tolist() == want and 0 < sum(want) < len(want)
 
 
 def test_trie_finds_what_counts_allow():
