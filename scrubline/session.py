@@ -51,6 +51,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not root:
         if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = f"{tempfile.gettempdir()}/scrubline-shared"
-        spark.conf.set("spark.checkpoint.dir", root)
+        # spark.checkpoint.dir itself cannot change in a running session
+        spark.sparkContext.setCheckpointDir(f"{tempfile.gettempdir()}/scrubline-shared")
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/scrubline/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
