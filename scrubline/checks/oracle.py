@@ -180,6 +180,38 @@ CLEAN_APP = f"""SELECT app_id, app, category, {RATING_FILLED}, size, {_filled('t
     {_filled('android_ver')}, {CONVERTED}, {TO_DATE} AS last_updated_date FROM apps"""
 IN_DOMAIN = "coalesce(type IN ('Free', 'Paid'), false)"
 
+def _checksum(columns: dict[str, str]) -> str:
+    """Sum of the rows' checksums: 32 bits of the MD5 of the columns' text."""
+    billionths = "CAST(TRY_CAST({0} * 1e9 AS DECIMAL(38,0)) AS VARCHAR)"
+    form = {"text": "{0}", "integer": "CAST(CAST({0} AS BIGINT) AS VARCHAR)", "double": billionths}
+    parts = ", ".join(f"coalesce('=' || {form[k].format(c)}, '-')" for c, k in columns.items())
+    return f"CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), {parts})), 1, 8) AS BIGINT)) AS BIGINT)"
+
+
+def _manifest() -> str:
+    apps = {"app_id": "integer", "app": "text", "category": "text", "rating": "double"}
+    apps |= dict.fromkeys(("size", "type", "content_rating", "genres", "last_updated"), "text")
+    apps |= {"current_ver": "text", "android_ver": "text", "reviews": "integer"}
+    apps |= {"installs": "integer", "price": "double", "last_updated_date": "text"}
+    reviews = {"review_id": "integer", "app": "text", "translated_review": "text"}
+    reviews |= {"sentiment": "text", "sentiment_polarity": "double"}
+    reviews |= {"sentiment_subjectivity": "double", "review_length": "integer"}
+    reviews |= {"sentiment_normalized": "text"}
+    clean = _reviews(
+        f"""SELECT review_id, app, translated_review, sentiment, {SCORES},
+        length(translated_review) AS review_length,
+        lower(trim(sentiment)) AS sentiment_normalized FROM kept""",
+        COMPLETE,
+        CLEANED,
+        LONG_ENOUGH,
+    )
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, 2 * count(*) AS landed_rows, true AS complete, "
+        f"count(*) AS once_rows, {_checksum(columns)} AS checksum FROM ({rows})"
+        for name, columns, rows in (("apps", apps, _apps(CLEAN_APP)), ("reviews", reviews, clean))
+    )
+
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "normalize_columns": _apps(f"SELECT * REPLACE ({PLAIN_RATING}) FROM apps"),
@@ -219,6 +251,7 @@ ORACLE: dict[str, str] = {
     "jdbc_ready_reviews": _reviews(
         f"SELECT review_id, app, translated_review, sentiment, {SCORES} FROM reviews"
     ),
+    "load_manifest": _manifest(),
     # filters
     "type_missing_report": _apps(
         f"""SELECT count(*) AS rows, {_count_not('type')} AS missing,

@@ -115,6 +115,35 @@ def jdbc_ready_reviews(spark, sf_dir):
     return _plain_scores(sources.jdbc_ready(plans.scored(reviews_raw(spark, sf_dir))))
 
 
+def _loaded(staged: DataFrame, name: str) -> DataFrame:
+    """What the ledger of a load says in which every file arrives twice."""
+    manifest = sources.load_manifest(staged)
+    landed = staged.unionAll(staged)
+    state = sources.ledger(manifest, sources.landed_files(landed))
+    files = state.agg(
+        F.sum("sent_rows").alias("n_rows"),
+        F.sum("landed_rows").alias("landed_rows"),
+        F.every(F.col("state") == "complete").alias("complete"),
+    )
+    once = sources.each_once(landed, manifest).agg(F.count("*").alias("once_rows"))
+    check = manifest.agg(F.sum("checksum").alias("checksum"))
+    return files.crossJoin(once).crossJoin(check).select(F.lit(name).alias("table_name"), "*")
+
+
+@_register
+def load_manifest(spark, sf_dir):
+    """Both cleaned tables, staged for a load: rows and checksums, copies told apart."""
+    tables = {
+        "apps": plans.clean_apps(apps_raw(spark, sf_dir)),
+        "reviews": plans.clean_reviews(reviews_raw(spark, sf_dir)),
+    }
+    found = [
+        _loaded(sources.stage_files(sources.jdbc_ready(df), shared_folder(spark, f"load_{name}")), name)
+        for name, df in tables.items()
+    ]
+    return found[0].unionAll(found[1])
+
+
 # --- filters -------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from scrubline.plans.apps import (
     impute_all,
 )
 from scrubline.plans.ingest import land_csv
-from scrubline.plans.load import load_tables
+from scrubline.plans.load import load_tables, load_tables_once
 from scrubline.plans.reviews import (
     CRITICAL,
     SCORES,
@@ -37,6 +37,7 @@ __all__ = [
     "impute_mean_rating",
     "land_csv",
     "load_tables",
+    "load_tables_once",
     "positive_texts",
     "prepare",
     "scored",
