@@ -328,6 +328,14 @@ ORACLE: dict[str, str] = {
         f"count(*) AS n FROM apps GROUP BY 1 ORDER BY n DESC, mode LIMIT 1)"
         for c in ("size", "balance")
     ),
+    "bounded_modes": _apps(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS "column", CAST(mode AS VARCHAR) AS mode, n
+            FROM {_ranked(c, f"NOT ({_audit(c, k)})")}"""
+            for c, k in APP_KINDS.items()
+            if c != "rating"
+        )
+    ),
     "missing_wide": _apps(f"SELECT {_wide(APP_KINDS)} FROM apps"),
     "missing_wide_reviews": _reviews(f"SELECT {_wide(REVIEW_KINDS)} FROM reviews"),
     "missing_long": _reviews(

@@ -248,6 +248,13 @@ def numeric_modes(spark, sf_dir):
     return modes.withColumn("mode", F.col("mode").cast("double"))
 
 
+@_register
+def bounded_modes(spark, sf_dir):
+    """Modes of all columns, the unique names included, without shuffling their values."""
+    apps = apps_raw(spark, sf_dir).drop("rating")
+    return ops.bounded_modes_table(apps, {c: fn.AUDIT for c in apps.columns})
+
+
 @_register
 def missing_wide(spark, sf_dir):
     return ops.missing_wide(apps_raw(spark, sf_dir))

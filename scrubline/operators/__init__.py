@@ -11,9 +11,11 @@ from scrubline.operators.audit import (
     row_missing_profile,
     table_shape,
 )
+from scrubline.operators.heavy import bounded_modes, bounded_modes_table
 from scrubline.operators.impute import (
     Fill,
     ImputeModel,
+    fit_bounded_modes,
     fit_mean,
     fit_median,
     fit_median_and_modes,
@@ -49,11 +51,14 @@ __all__ = [
     "Fill",
     "ImputeModel",
     "approximate_quantile",
+    "bounded_modes",
+    "bounded_modes_table",
     "column_mean",
     "column_modes",
     "complete_rows",
     "domain_violations",
     "exact_quantile",
+    "fit_bounded_modes",
     "fit_mean",
     "fit_median",
     "fit_median_and_modes",
