@@ -59,6 +59,9 @@ NUMBERS = {
 CSV_LINE = """concat(CAST(app_id AS STRING), ',', CAST(size AS STRING),
     CASE WHEN app_id % 5 = 0 THEN '' WHEN app_id % 7 = 0 THEN ',x,y,z' ELSE ',x' END)"""
 
+# Numbers of a table with many rows.
+NUMERIC = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+
 REVIEWS_TABLE = "documents"
 REVIEWS = {
     "review_id": "doc_id",

@@ -12,6 +12,7 @@ from scrubline.checks.inputs import (
     APPS_TABLE,
     CSV_LINE,
     NUMBERS,
+    NUMERIC,
     REVIEWS,
     REVIEWS_TABLE,
     SHORT_REVIEWS,
@@ -308,6 +309,10 @@ ORACLE: dict[str, str] = {
     "rating_median_approx": _apps(
         f"SELECT count(*) AS n_rows, true AS within_error FROM apps WHERE {PRESENT['rating']}"
     ),
+    "numeric_medians": " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", CAST(quantile_disc({c}, 0.5) AS DOUBLE) AS value FROM lineitem"
+        for c in NUMERIC
+    ),
     "fill_values": _apps(
         _union(
             f"SELECT '{c}' AS \"column\", '{'median' if c == 'rating' else 'mode'}' AS statistic, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from scrubline import functions as fn
 from scrubline import operators as ops
 from scrubline import plans, sources
+from scrubline.checks import inputs
 from scrubline.checks.inputs import CSV_LINE, apps_raw, numbers, reviews_raw
 from scrubline.functions.missing import named
 from scrubline.plans.apps import typed_rating
@@ -231,6 +232,13 @@ def rating_median_approx(spark, sf_dir):
     return apps.agg(rows.alias("n_rows"), within.alias("within_error"))
 
 
+@_register
+def numeric_medians(spark, sf_dir):
+    """Medians of four columns from the same two passes."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    return ops.quantile_table(lines, inputs.NUMERIC)
+
+
 @_register
 def fill_values(spark, sf_dir):
     model = plans.fit_apps(apps_raw(spark, sf_dir), keep=True)

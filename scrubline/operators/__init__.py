@@ -31,6 +31,7 @@ from scrubline.operators.quality import (
     null_out_of_domain,
     valid_scores,
 )
+from scrubline.operators.quantiles import exact_quantiles, quantile_table
 from scrubline.operators.stats import (
     approximate_quantile,
     column_mean,
@@ -58,6 +59,7 @@ __all__ = [
     "complete_rows",
     "domain_violations",
     "exact_quantile",
+    "exact_quantiles",
     "fit_bounded_modes",
     "fit_mean",
     "fit_median",
@@ -76,6 +78,7 @@ __all__ = [
     "non_numeric_counts",
     "null_out_of_domain",
     "preview",
+    "quantile_table",
     "row_missing_profile",
     "table_shape",
     "top_words",
