@@ -303,7 +303,11 @@ ORACLE: dict[str, str] = {
         + " FROM apps"
     ),
     "rating_mean": _apps(
-        f"SELECT round(avg(rating), 6) AS rating_mean FROM apps WHERE {PRESENT['rating']}"
+        # Ratings are whole multiples of 2**-52 and their mean is between 2 and 4, so the mean
+        # rounded once is a whole multiple of 2**-51.
+        f"""SELECT CAST((s + n) // (2 * n) AS DOUBLE) / 2251799813685248.0 AS rating_mean FROM (
+        SELECT sum(CAST(rating * 4503599627370496.0 AS HUGEINT)) AS s, count(*) AS n
+        FROM apps WHERE {PRESENT['rating']})"""
     ),
     "rating_median": _apps(f"SELECT {MEDIAN} AS rating_median"),
     "rating_median_approx": _apps(

@@ -211,8 +211,8 @@ def app_missing_before(spark, sf_dir):
 
 @_register
 def rating_mean(spark, sf_dir):
-    mean = ops.column_mean(apps_raw(spark, sf_dir), "rating")
-    return mean.select(F.round("mean", 6).alias("rating_mean"))
+    mean = ops.exact_mean(apps_raw(spark, sf_dir), "rating")
+    return spark.range(1).select(F.lit(mean).cast("double").alias("rating_mean"))
 
 
 @_register

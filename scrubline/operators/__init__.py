@@ -22,6 +22,7 @@ from scrubline.operators.impute import (
     fit_modes,
     fit_modes_where_missing,
 )
+from scrubline.operators.means import exact_mean, exact_sums
 from scrubline.operators.preview import preview
 from scrubline.operators.quality import (
     Domain,
@@ -58,8 +59,10 @@ __all__ = [
     "column_modes",
     "complete_rows",
     "domain_violations",
+    "exact_mean",
     "exact_quantile",
     "exact_quantiles",
+    "exact_sums",
     "fit_bounded_modes",
     "fit_mean",
     "fit_median",

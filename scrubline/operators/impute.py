@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 
 from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 from scrubline.operators.heavy import bounded_modes
+from scrubline.operators.means import exact_mean
 from scrubline.operators.stats import (
     approximate_quantile,
-    column_mean,
     exact_quantile,
     look_at,
     modes_row,
@@ -88,9 +88,8 @@ def fit_median(
 
 
 def fit_mean(df: DataFrame, column: str) -> ImputeModel:
-    """Mean of ``column`` without NULL and NaN."""
-    value = column_mean(df, column).first()[0]
-    return ImputeModel((Fill(column, "mean", value, NAN),))
+    """Mean of ``column`` without NULL and NaN, the same for any partitioning."""
+    return ImputeModel((Fill(column, "mean", exact_mean(df, column), NAN),))
 
 
 def fit_modes(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
