@@ -425,3 +425,8 @@ ORACLE: dict[str, str] = {
         WORDS,
     ),
 }
+
+# The same results by other ways.
+ORACLE["observed_audit"] = ORACLE["missing_pct"]
+ORACLE["app_clean_lazy"] = ORACLE["app_clean"]
+ORACLE["incremental_fill_values"] = ORACLE["fill_values"]

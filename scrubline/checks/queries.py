@@ -13,6 +13,7 @@ from scrubline import plans, sources
 from scrubline.checks import inputs
 from scrubline.checks.inputs import CSV_LINE, apps_raw, numbers, reviews_raw
 from scrubline.functions.missing import named
+from scrubline.operators import state
 from scrubline.plans.apps import typed_rating
 from scrubline.session import shared_folder
 
@@ -128,7 +129,8 @@ def _loaded(staged: DataFrame, name: str) -> DataFrame:
     )
     once = sources.each_once(landed, manifest).agg(F.count("*").alias("once_rows"))
     check = manifest.agg(F.sum("checksum").alias("checksum"))
-    return files.crossJoin(once).crossJoin(check).select(F.lit(name).alias("table_name"), "*")
+    parts = files.unionByName(once, allowMissingColumns=True).unionByName(check, allowMissingColumns=True)
+    return parts.agg(*(F.max(c).alias(c) for c in parts.columns)).select(F.lit(name).alias("table_name"), "*")
 
 
 @_register
@@ -278,6 +280,13 @@ def missing_long(spark, sf_dir):
     return ops.missing_long(plans.complete_reviews(reviews_raw(spark, sf_dir)))
 
 
+@_register
+def observed_audit(spark, sf_dir):
+    """The audit of ``missing_pct``, counted while the reviews are written."""
+    complete = plans.complete_reviews(reviews_raw(spark, sf_dir))
+    return ops.snapshot_with_audit(complete, shared_folder(spark, "observed_audit"))[1]
+
+
 @_register
 def missing_pct(spark, sf_dir):
     return ops.missing_percentages(plans.complete_reviews(reviews_raw(spark, sf_dir)))
@@ -434,6 +443,24 @@ def app_clean(spark, sf_dir):
     return _shown_apps(plans.clean_apps(apps_raw(spark, sf_dir)))
 
 
+@_register
+def app_clean_lazy(spark, sf_dir):
+    """As ``app_clean``, with the fits in the plan."""
+    apps = apps_raw(spark, sf_dir)
+    return _shown_apps(plans.clean_apps(apps, plans.fit_apps(apps, lazy=True)))
+
+
+@_register
+def incremental_fill_values(spark, sf_dir):
+    """Fill values from the stored states of three batches, of which one came twice."""
+    apps, path = apps_raw(spark, sf_dir), shared_folder(spark, "fill_states")
+    for batch in (0, 1, 2, 1):
+        part = apps.where(F.col("app_id") % 3 == batch)
+        state.write_batch(state.column_state(part, MODE_RULES, ["rating"]), path, f"b{batch}")
+    model = state.fit_from_state(state.read_batches(spark, path), MODE_RULES, ["rating"])
+    return model.as_frame(spark)
+
+
 @_register
 def reviews_clean_full(spark, sf_dir):
     cleaned = plans.clean_reviews(reviews_raw(spark, sf_dir))

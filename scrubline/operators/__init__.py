@@ -23,6 +23,7 @@ from scrubline.operators.impute import (
     fit_modes_where_missing,
 )
 from scrubline.operators.means import exact_mean, exact_sums
+from scrubline.operators.observed import observed_snapshot, snapshot_with_audit
 from scrubline.operators.preview import preview
 from scrubline.operators.quality import (
     Domain,
@@ -80,9 +81,11 @@ __all__ = [
     "missing_wide",
     "non_numeric_counts",
     "null_out_of_domain",
+    "observed_snapshot",
     "preview",
     "quantile_table",
     "row_missing_profile",
+    "snapshot_with_audit",
     "table_shape",
     "top_words",
     "valid_scores",

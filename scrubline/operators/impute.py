@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from scrubline.functions.missing import NAN, Missing, count_where, is_missing, named
 from scrubline.operators.heavy import bounded_modes
+from scrubline.operators.lazy import lazy_mean, lazy_modes, lazy_quantile
 from scrubline.operators.means import exact_mean
 from scrubline.operators.stats import (
     approximate_quantile,
@@ -24,9 +25,13 @@ from scrubline.operators.stats import (
 )
 
 
+def _column(value: object) -> Column:
+    return value if isinstance(value, Column) else F.lit(value)
+
+
 @dataclass(frozen=True)
 class Fill:
-    """One column's fill value and what it replaces."""
+    """One column's fill value, or a column that gives it, and what it replaces."""
 
     column: str
     statistic: str
@@ -58,7 +63,7 @@ class ImputeModel:
     def filled(self, df: DataFrame, column: str) -> Column:
         """The imputed column; its gaps are NULL if it had no value to learn from."""
         fill = self._fill(column)
-        value = F.lit(fill.value).cast(df.schema[column].dataType)
+        value = _column(fill.value).cast(df.schema[column].dataType)
         return F.when(is_missing(df, column, fill.missing), value).otherwise(named(column))
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -67,35 +72,48 @@ class ImputeModel:
     def as_frame(self, spark: SparkSession) -> DataFrame:
         """(column, statistic, value), one row per fill."""
         def text(value: object) -> Column:
-            return F.lit(None if value is None else str(value))
+            known = value if value is None or isinstance(value, Column) else str(value)
+            return _column(known).cast("string")
 
+        names = ("column", "statistic", "value")
         fills = F.array(
-            *(F.struct(text(f.column), text(f.statistic), text(f.value)) for f in self.fills)
+            *(F.struct(*(text(v).alias(n) for n, v in zip(names, (f.column, f.statistic, f.value)))) for f in self.fills)
         )
         typed = fills.cast("array<struct<column:string,statistic:string,value:string>>")
         return spark.range(1).select(F.inline(typed))
 
 
 def fit_median(
-    df: DataFrame, column: str, relative_error: float | None = None
+    df: DataFrame, column: str, relative_error: float | None = None, lazy: bool = False
 ) -> ImputeModel:
-    """Median of ``column``: exact, or within a rank error in a single pass."""
-    if relative_error:
+    """Median of ``column``: exact, or within a rank error in a single pass.
+
+    ``lazy`` here and below runs no job: the value is a subquery of the plan it fills.
+    """
+    if lazy:
+        value = lazy_quantile(df, column, 0.5)
+    elif relative_error:
         value = approximate_quantile(df, column, 0.5, relative_error)
     else:
         value = exact_quantile(df, column, 0.5)
     return ImputeModel((Fill(column, "median", value, NAN),))
 
 
-def fit_mean(df: DataFrame, column: str) -> ImputeModel:
-    """Mean of ``column`` without NULL and NaN, the same for any partitioning."""
-    return ImputeModel((Fill(column, "mean", exact_mean(df, column), NAN),))
+def fit_mean(df: DataFrame, column: str, lazy: bool = False) -> ImputeModel:
+    """Mean of ``column`` without NULL and NaN, the same for any partitioning unless lazy."""
+    value = lazy_mean(df, column) if lazy else exact_mean(df, column)
+    return ImputeModel((Fill(column, "mean", value, NAN),))
 
 
-def fit_modes(df: DataFrame, rules: Mapping[str, Missing]) -> ImputeModel:
+def fit_modes(
+    df: DataFrame, rules: Mapping[str, Missing], lazy: bool = False
+) -> ImputeModel:
     """Modes of all columns in ``rules`` from one job, each under its own rule."""
     if not rules:
         return ImputeModel()
+    if lazy:
+        modes = lazy_modes(df, rules)
+        return ImputeModel(tuple(Fill(c, "mode", modes[c], rule) for c, rule in rules.items()))
     row = modes_row(df, rules).first()
     return ImputeModel(
         tuple(

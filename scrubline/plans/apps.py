@@ -59,15 +59,19 @@ def typed_rating(df: DataFrame) -> DataFrame:
 
 
 def fit_apps(
-    df: DataFrame, relative_error: float | None = None, keep: bool = False
+    df: DataFrame, relative_error: float | None = None, keep: bool = False, lazy: bool = False
 ) -> ImputeModel:
     """Median of the rating and modes of type, content rating and versions.
 
+    ``lazy`` runs no job: the values are subqueries of the plan that uses them.
+
     ``keep`` holds the five columns between the passes, for a table that is
     costly to read again, such as CSV or the result of a query.
     """
     modes = {c: rule for c, rule in APP_MISSING.items() if c != "rating"}
     narrow = df.select(*(named(c) for c in APP_MISSING))
+    if lazy:
+        return fit_median(narrow, "rating", lazy=True) + fit_modes(narrow, modes, lazy=True)
     with persisted(narrow) if keep else nullcontext(narrow) as table:
         return fit_median(table, "rating", relative_error) + fit_modes(table, modes)
 

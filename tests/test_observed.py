@@ -1,0 +1,71 @@
+"""Audits counted while a snapshot is written."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from scrubline import functions as fn
+from scrubline import operators as ops
+from scrubline.operators import observed
+
+
+def table(spark, rows=2000):
+    return spark.range(rows).select(
+        F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("a"),
+        F.when(F.col("id") % 7 > 0, F.lit("")).alias("b"),
+        F.when(F.col("id") % 5 > 0, F.col("id") / 2).otherwise(float("nan")).alias("c"),
+    )
+
+
+def jobs(spark, run):
+    group = f"observed-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        result = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return result, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+@pytest.mark.parametrize("rule", [fn.NULL, fn.AUDIT, fn.EMPTY])
+def test_same_as_a_pass_of_its_own(spark, tmp_path, rule):
+    df = table(spark)
+    snapshot, report = observed.snapshot_with_audit(df, str(tmp_path / "t"), rule=rule)
+    assert sorted(map(tuple, report.collect())) == sorted(map(tuple, ops.missing_percentages(df, rule=rule).collect()))
+    assert snapshot.count() == 2000
+
+
+def test_counts_of_rows_that_do_not_stay(spark, tmp_path):
+    df = table(spark)
+    parts = observed.missing_parts(df, ["a"]) | {"even": F.count_if(F.col("c") < 10)}
+    snapshot, counts = observed.observed_snapshot(df, str(tmp_path / "t"), parts, lambda d: d.where("a is not null").select("a"))
+    assert snapshot.count() == 1333 and snapshot.columns == ["a"]
+    assert counts == {"__rows": 2000, "a": 667, "even": df.where("c < 10").count()}
+
+
+def test_a_narrow_write_is_one_job(spark, tmp_path):
+    df = table(spark)
+    run = lambda: observed.observed_snapshot(df, str(tmp_path / "t"), observed.missing_parts(df, df.columns), narrow=True)
+    (_, counts), n = jobs(spark, run)
+    assert n == 1 and counts["b"] == 2000
+
+
+def test_a_stage_that_counted_twice_is_found(spark, tmp_path, monkeypatch):
+    """The audit then makes its own pass."""
+
+    class Doubled(observed.Observation):
+        @property
+        def get(self):
+            return {k: 2 * v for k, v in super().get.items()}
+
+    monkeypatch.setattr(observed, "Observation", Doubled)
+    df = table(spark)
+    _, counts = observed.observed_snapshot(df.repartition(3), str(tmp_path / "t"), observed.missing_parts(df, ["a"]))
+    assert counts == {"__rows": 2000, "a": 667}
+
+
+def test_empty_table(spark, tmp_path):
+    df = table(spark, 0)
+    _, report = observed.snapshot_with_audit(df, str(tmp_path / "t"))
+    assert {(r.missing, float(r.pct)) for r in report.collect()} == {(0, 0.0)}

@@ -223,9 +223,25 @@ def test_prepare_from_csv_files(spark, tmp_path, monkeypatch):
     assert values["rating"] == "2.9" and values["type"] == "Free"
     for name, frame in out.items():
         assert (frame.count() > 0) != name.startswith("malformed"), name
-    assert {p.name for p in (tmp_path / "out" / "reports").iterdir()} == set(out) - {
-        "apps", "reviews", "malformed_apps", "malformed_reviews"
+    assert {p.name for p in (tmp_path / "out" / "reports").iterdir()} == {
+        "app_fill_values", "app_types", "review_lengths", "positive_words", "counts"
     }
+    raw = {n: spark.read.parquet(str(tmp_path / "out" / "raw" / n)) for n in ("apps", "reviews")}
+    typed, complete = whole.typed_rating(raw["apps"]), plans.complete_reviews(raw["reviews"])
+    model = plans.fit_apps(typed)
+    same = {
+        "app_shape": ops.table_shape(typed),
+        "review_shape": ops.table_shape(raw["reviews"]),
+        "app_imputation": ops.impute_report(typed, model),
+        "app_domain_violations": ops.domain_violations(typed, plans.APP_DOMAINS),
+        "app_missing": ops.missing_long(model.transform(typed)),
+        "review_missing": ops.missing_percentages(raw["reviews"]),
+        "complete_review_missing": ops.missing_percentages(complete),
+        "review_non_numeric": ops.non_numeric_counts(complete, plans.SCORES),
+    }
+    for name, report in same.items():
+        assert out[name].columns == report.columns
+        assert sorted(map(tuple, out[name].collect())) == sorted(map(tuple, report.collect())), name
 
 
 def test_fits_on_kept_columns_are_the_same(spark):
@@ -267,12 +283,15 @@ def physical(df) -> str:
 
 
 WRITING = {"csv_malformed_rows", "csv_roundtrip", "parquet_roundtrip"}
+# The ledger compares two tables of files; a lazy median adds up the counts of its bracket.
+ALLOWED = {"load_manifest": {"Join"}, "app_clean_lazy": {"Window"}}
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_no_python_and_no_joins(spark, name):
     plan = physical(QUERIES[name](spark, SF["0.001"]))
-    assert not re.search("Python|Pandas|Cartesian|NestedLoop|Join|ExistingRDD|Window", plan)
+    found = set(re.findall("Python|Pandas|Cartesian|NestedLoop|Join|ExistingRDD|Window", plan))
+    assert found <= ALLOWED.get(name, set())
 
 
 NARROW = [
