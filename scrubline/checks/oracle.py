@@ -213,6 +213,47 @@ def _manifest() -> str:
     )
 
 
+def _type_of(table: str, rows: str, columns: list[str]) -> str:
+    """Type and reason of each text column of ``rows``."""
+    whole, fraction = "0|-?[1-9][0-9]*", r"-?(0|[1-9][0-9]*)\.[0-9]+"
+    digits = "length(regexp_replace(v, '[^0-9]', '', 'g'))"
+    significant = "length(ltrim(regexp_replace(v, '[^0-9]', '', 'g'), '0'))"
+    scale = "CASE WHEN contains(v, '.') THEN length(regexp_extract(v, '[^.]*$')) ELSE 0 END"
+    ok = {
+        "boolean": "v IN ('true', 'false')",
+        "int": f"regexp_full_match(v, '{whole}') AND TRY_CAST(v AS INT) IS NOT NULL",
+        "bigint": f"regexp_full_match(v, '{whole}') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+        "decimal": f"(regexp_full_match(v, '{whole}') OR regexp_full_match(v, '{fraction}')) AND {digits} <= 38",
+        "double": rf"regexp_full_match(v, '-?(0|[1-9][0-9]*)\.(0|[0-9]*[1-9])') AND {significant} <= 15",
+        "date": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL",
+        "timestamp": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}') "
+        "AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+    }
+    kinds = ("boolean", "bigint", "decimal", "double", "date", "timestamp")
+    ranked = ", ".join(f"{{'c': no_{k}, 'o': {i}, 't': '{k}'}}" for i, k in enumerate(kinds))
+    counts = ", ".join(f"count(*) FILTER (WHERE NOT ({test})) AS no_{t}" for t, test in ok.items())
+    long = " UNION ALL ".join(
+        f"SELECT '{c}' AS name, {i} AS place, CAST({c} AS VARCHAR) AS v FROM t" for i, c in enumerate(columns)
+    )
+    given = "'every text is given back'"
+    return f"""SELECT '{table}' AS table_name, name AS "column",
+        CASE WHEN n = 0 THEN 'string' WHEN no_boolean = 0 THEN 'boolean' WHEN no_int = 0 THEN 'int'
+          WHEN no_bigint = 0 THEN 'bigint' WHEN is_decimal THEN 'decimal(' || (digits + most) || ',' || most || ')'
+          WHEN no_double = 0 THEN 'double' WHEN no_date = 0 THEN 'date' WHEN no_timestamp = 0 THEN 'timestamp'
+          ELSE 'string' END AS type,
+        CASE WHEN n = 0 THEN 'no values' WHEN no_boolean = 0 OR no_int = 0 OR no_bigint = 0 THEN {given}
+          WHEN is_decimal THEN 'one number of decimals'
+          WHEN no_double = 0 OR no_date = 0 OR no_timestamp = 0 THEN {given}
+          ELSE nearest.c || ' of ' || n || ' are no ' || nearest.t END AS reason
+      FROM (SELECT *, no_decimal = 0 AND least = most AND digits + most <= 38 AS is_decimal,
+          list_sort([{ranked}])[1] AS nearest
+        FROM (SELECT name, place, count(*) AS n, {counts}, min({scale}) AS least, max({scale}) AS most,
+            max({digits} - ({scale})) AS digits
+          FROM (WITH t AS ({rows}) SELECT * FROM ({long})) WHERE v IS NOT NULL AND v <> '' GROUP BY name, place))"""
+
+
+PART_COLUMNS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
 ORACLE: dict[str, str] = {
     # sources and sinks
     "normalize_columns": _apps(f"SELECT * REPLACE ({PLAIN_RATING}) FROM apps"),
@@ -253,6 +294,11 @@ ORACLE: dict[str, str] = {
         f"SELECT review_id, app, translated_review, sentiment, {SCORES} FROM reviews"
     ),
     "load_manifest": _manifest(),
+    "inferred_schema": _type_of(
+        "apps", as_sql(APPS, APPS_TABLE), [c for c in APPS if c not in ("app_id", "rating")]
+    )
+    + " UNION ALL "
+    + _type_of("parts", "SELECT * FROM part", PART_COLUMNS),
     # filters
     "type_missing_report": _apps(
         f"""SELECT count(*) AS rows, {_count_not('type')} AS missing,

@@ -75,6 +75,18 @@ def csv_roundtrip(spark, sf_dir):
     return _long(sources.normalize_columns(back), "review_id")
 
 
+@_register
+def inferred_schema(spark, sf_dir):
+    """Types of the apps and of the parts, all read as text."""
+    parts = spark.read.parquet(f"{sf_dir}/part.parquet")
+    texts = parts.select(*(named(c).cast("string") for c in parts.columns))
+    found = [
+        ops.inferred_schema(df).select(F.lit(name).alias("table_name"), "column", "type", "reason")
+        for name, df in (("apps", apps_raw(spark, sf_dir).drop("app_id", "rating")), ("parts", texts))
+    ]
+    return found[0].unionAll(found[1])
+
+
 @_register
 def csv_malformed_rows(spark, sf_dir):
     path = shared_folder(spark, "csv_malformed_rows")

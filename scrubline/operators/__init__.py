@@ -22,6 +22,7 @@ from scrubline.operators.impute import (
     fit_modes,
     fit_modes_where_missing,
 )
+from scrubline.operators.inference import inferred_schema, inferred_types, typed
 from scrubline.operators.means import exact_mean, exact_sums
 from scrubline.operators.observed import observed_snapshot, snapshot_with_audit
 from scrubline.operators.preview import preview
@@ -72,6 +73,8 @@ __all__ = [
     "fit_modes_where_missing",
     "impute_report",
     "incomplete_rows",
+    "inferred_schema",
+    "inferred_types",
     "length_distribution",
     "length_histogram",
     "missing_counts",
@@ -88,6 +91,7 @@ __all__ = [
     "snapshot_with_audit",
     "table_shape",
     "top_words",
+    "typed",
     "valid_scores",
     "value_distribution",
     "with_label",
