@@ -476,3 +476,4 @@ ORACLE: dict[str, str] = {
 ORACLE["observed_audit"] = ORACLE["missing_pct"]
 ORACLE["app_clean_lazy"] = ORACLE["app_clean"]
 ORACLE["incremental_fill_values"] = ORACLE["fill_values"]
+ORACLE["csv_split_roundtrip"] = ORACLE["csv_roundtrip"]

@@ -75,6 +75,16 @@ def csv_roundtrip(spark, sf_dir):
     return _long(sources.normalize_columns(back), "review_id")
 
 
+@_register
+def csv_split_roundtrip(spark, sf_dir):
+    """As ``csv_roundtrip``, with every file read as lines that are put together."""
+    path = shared_folder(spark, "csv_split_roundtrip")
+    headers = ("Review-ID", *sources.REVIEW_HEADERS)
+    sources.write_csv(reviews_raw(spark, sf_dir).toDF(*headers), path)
+    back = sources.read_csv_split(spark, path, sources.text_schema(headers))
+    return _long(sources.normalize_columns(back), "review_id")
+
+
 @_register
 def inferred_schema(spark, sf_dir):
     """Types of the apps and of the parts, all read as text."""

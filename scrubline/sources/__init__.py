@@ -13,7 +13,14 @@ from scrubline.sources.ledger import (
     stage_files,
 )
 from scrubline.sources.names import NameCollision, normal_name, normalize_columns
-from scrubline.sources.parquet import persisted, read_snapshot, write_snapshot
+from scrubline.sources.parquet import (
+    persisted,
+    publish_snapshot,
+    read_published,
+    read_snapshot,
+    write_snapshot,
+)
+from scrubline.sources.split import read_csv_split
 from scrubline.sources.tables import APP_HEADERS, REVIEW_HEADERS, text_schema
 
 __all__ = [
@@ -35,7 +42,10 @@ __all__ = [
     "normalize_columns",
     "persisted",
     "once_view",
+    "publish_snapshot",
     "read_csv",
+    "read_csv_split",
+    "read_published",
     "read_snapshot",
     "stage_files",
     "text_schema",

@@ -282,7 +282,7 @@ def physical(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-WRITING = {"csv_malformed_rows", "csv_roundtrip", "parquet_roundtrip"}
+WRITING = {"csv_malformed_rows", "csv_roundtrip", "csv_split_roundtrip", "parquet_roundtrip"}
 # The ledger compares two tables of files; a lazy median adds up the counts of its bracket.
 ALLOWED = {"load_manifest": {"Join"}, "app_clean_lazy": {"Window"}}
 
