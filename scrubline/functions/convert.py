@@ -10,6 +10,13 @@ NOT_A_DIGIT = "[^0-9]"
 NOT_IN_AMOUNT = "[^0-9.,]"
 LONG_DATE = "MMMM d, yyyy"
 INT_MAX = 2_147_483_647
+MONTHS = (
+    "january", "february", "march", "april", "may", "june", "july", "august",
+    "september", "october", "november", "december",
+)
+# Texts that can be a long date, and days that no year has.
+POSSIBLE_DATE = rf"^(?i:{'|'.join(MONTHS)}) [0-9]+, [+-]?[0-9]+\z"
+NO_DATE = r"^(?i:february 3[01]|(?:april|june|september|november) 31),"
 
 
 def to_double(column: Column) -> Column:
@@ -50,8 +57,13 @@ def amount_to_double(column: Column) -> Column:
 
 
 def long_date(column: Column) -> Column:
-    """``'January 7, 2018'`` as a date."""
-    return F.try_to_date(column, LONG_DATE)
+    """``'January 7, 2018'`` as a date.
+
+    A text that cannot be one would cost an exception inside the parser, so nearly all of these are
+    told apart before.
+    """
+    possible = column.rlike(POSSIBLE_DATE) & ~column.rlike(NO_DATE)
+    return F.try_to_date(F.when(possible, column), LONG_DATE)
 
 
 def is_non_numeric(column: Column) -> Column:

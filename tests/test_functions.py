@@ -50,6 +50,19 @@ def test_long_date(spark, ansi):
     assert column(spark, values, fn.long_date) == [day, day, day] + [None] * 7
 
 
+def test_long_date_is_what_the_parser_reads(spark, ansi):
+    """Texts set aside beforehand are NULL in the parser too."""
+    months = ["January", "february", "MAY", "Sept", "September", "Juneteenth", "", "June"]
+    days = ["1", "01", "007", "0", "29", "30", "31", "32", "-7", "+7", "x", ""]
+    years = ["2018", "2020", "1900", "18", "02018", "+2018", "-2018", "12018", "0000", "year", ""]
+    forms = ["{} {}, {}", "{} {} {}", " {} {}, {}", "{}  {}, {}", "{} {},{}", "{} {}, {}\n", "{} {}, {} "]
+    values = [f.format(m, d, y) for f in forms[:1] for m in months for d in days for y in years]
+    values += [f.format("June", "7", "2018") for f in forms]
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+    rows = df.select("v", fn.long_date(F.col("v")).cast("string"), F.try_to_date(F.col("v"), "MMMM d, yyyy").cast("string"))
+    assert [r for r in map(tuple, rows.collect()) if r[1] != r[2]] == []
+
+
 def test_to_score(spark, ansi):
     low, nan, bad, gap = column(spark, ["-0.07", "nan", "abc", None], fn.to_score)
     assert low == pytest.approx(-0.07) and low != -0.07  # 32 bits
