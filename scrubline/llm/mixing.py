@@ -1,19 +1,24 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 The words of a source, document after document, are packed into blocks of
-``BLOCK`` words.  A mix is a sequence of slots, each for one block: every output
-shard gets for each source the whole part of its expected number of slots, and
-the rest of the shard is drawn from a multinomial distribution over the
-fractions.  The slots of a source are numbered over all shards.  Slot j stands
-for a block of epoch ``j div blocks``: a pseudorandom permutation of the block
-numbers, another one for each source and epoch, maps ``j mod blocks`` to it.
-Blocks and documents are then joined by block number.
+``BLOCK`` words.  A mix is a sequence of slots, each for one block, cut into output shards
+of ``SHARD`` slots.  Each shard draws how many slots every source gets: a multinomial draw,
+given that over all shards a source gets the slots of its target.  (A draw without that
+condition would miss the target of a small source by about the square root of its slots.)
+It is made by dealing all slots to places in the shards by a pseudorandom permutation.
+
+The slots of a source are numbered over the shards.  Slot j stands for a block of epoch
+``j div blocks``: another permutation for each source and epoch maps ``j mod blocks`` to
+it.  Blocks and documents are then joined by block number.  Permutations are Feistel
+rounds over two numbers that together count a little more than is needed; what lands
+beyond goes through the rounds again.  No number in them exceeds twice their size.
 
 Nothing depends on the order of rows or on the partitioning: a document's place
 in its source follows from its identifier, draws are hashes of their numbers.
 Places are prefix sums in two levels, over buckets and within a bucket, each of
 about the square root of the rows, so a source with a third of all rows is never
-in one task.  To the driver comes one row per source, like the weights.
+in one task.  To the driver comes one row per source, like the weights; sources are
+joined, so there may be many.
 
 Defined cases: a null text has no words; a null source is a source, the last; a
 null identifier comes first in its bucket; rows that are repeated are documents
@@ -23,7 +28,7 @@ result; further columns do not matter.
 
 from __future__ import annotations
 
-from math import ceil, floor, gcd, isqrt
+from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -34,6 +39,7 @@ BLOCK = 64
 SHARD = 1 << 16
 MAX_EPOCHS = 3
 SEED = 20240229
+ROUNDS, WALK = 6, 128
 
 
 def targets(sizes: list[int], weights: list[float], cap: float = MAX_EPOCHS) -> list[float]:
@@ -77,21 +83,24 @@ def _places(docs: DataFrame, kept: list[str], id_col: str, text_col: str, source
     )
 
 
-def _index(bounds: list[int] | list[float], value: Column) -> Column:
-    """How many of the ascending ``bounds`` are not above ``value``."""
-    return F.size(F.filter(F.array(*map(F.lit, bounds)), lambda b: b <= value))
+def permuted(i: Column, n: Column, *key: Column) -> Column:
+    """A pseudorandom permutation of the numbers below ``n``, another one for each ``key``."""
+    # high * low is at least n, and at most the square root of n more
+    high = F.ceil(F.sqrt(n.cast("double"))).cast("long")
+    low = F.floor((n + high - 1) / high)
 
+    def rounds(x: Column) -> Column:
+        left, right = F.floor(x / low), F.pmod(x, low)
+        for step in range(0, ROUNDS, 2):
+            left = F.pmod(left + F.pmod(F.xxhash64(right, F.lit(step), *key), high), high)
+            right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(step + 1), *key), low), low)
+        return left * low + right
 
-def _pick(values: list, index: Column) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), index + 1)
-
-
-def _steps(blocks: int, source: int, epoch: int) -> tuple[int, int]:
-    """Factor and shift of the permutation ``i -> (factor * i + shift) mod blocks``."""
-    factor = int(blocks * 0.6180339887) + (source * 7919 + epoch * 104729 + SEED) % max(1, blocks // 3)
-    while gcd(factor, blocks) != 1:
-        factor += 1
-    return factor % blocks if blocks > 1 else 0, (source * 611953 + epoch * 1299709 + SEED) % blocks
+    first = rounds(i)
+    # no path outside is longer than the numbers there, and long ones are beyond chance
+    again = F.sequence(F.lit(1), F.least(high * low - n + 1, F.lit(WALK)).cast("int"))
+    inside = F.aggregate(again, first, lambda x, _: F.when(x < n, x).otherwise(rounds(x)))
+    return F.when(first < n, first).otherwise(inside)
 
 
 def source_plan(places: DataFrame, weights: list[float], block: int) -> list[dict]:
@@ -106,49 +115,34 @@ def source_plan(places: DataFrame, weights: list[float], block: int) -> list[dic
     return plan
 
 
+def shard_counts(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
+    """``src``, ``blocks``, ``shard``, ``first`` and ``n``: the slots that each shard draws for a
+    source are its slots from ``first`` on, ``n`` of them."""
+    rows, total = [], 0
+    for p in plan:
+        slots = min(round(p["slots"]), MAX_EPOCHS * p["blocks"])
+        rows.append((p["src"], p["blocks"], total, slots))
+        total += slots
+    sources = spark.createDataFrame(rows, "src string, blocks long, before long, slots long")
+    # a source's slots in runs, so that a large source is many rows
+    last = F.expr(f"(slots - 1) div {shard}")
+    runs = sources.filter("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("run"))
+    runs = runs.repartition("src", "run")
+    upto = F.least("slots", (F.col("run") + 1) * shard) - 1
+    slots = runs.select("src", "blocks", "before", F.explode(F.sequence(F.col("run") * shard, upto)).alias("slot"))
+    place = permuted(F.col("before") + F.col("slot"), F.lit(total).cast("long"), F.lit(SEED))
+    drawn = slots.select("src", "blocks", F.floor(place / shard).alias("shard")).groupBy("src", "blocks", "shard").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("src").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
+
+
 def block_uses(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
     """``src``, ``block`` and ``uses``: how often the mix takes each block it takes."""
-    live = [p for p in plan if p["blocks"]]
-    if not live:
-        return spark.range(0).select(F.lit("").alias("src"), F.col("id").alias("block"), F.col("id").alias("uses"))
-    shards = max(1, ceil(sum(p["slots"] for p in live) / shard))
-    whole = [floor(p["slots"] / shards) for p in live]
-    parts = [p["slots"] / shards - w for p, w in zip(live, whole)]
-    draws = round(sum(parts))
-    below = [sum(whole[:i]) for i in range(len(live))]
-    each = sum(whole)
-
-    fixed = spark.range(shards * each).select(
-        F.expr(f"id div {max(1, each)}").alias("shard"), F.pmod("id", F.lit(max(1, each))).alias("at")
-    )
-    fixed = fixed.withColumn("s", _index(below, F.col("at")) - 1).select(
-        "s", (F.col("shard") * _pick(whole, F.col("s")) + F.col("at") - _pick(below, F.col("s"))).alias("slot")
-    )
-    edges = [sum(parts[:i]) / (sum(parts) or 1) for i in range(len(live))]
-    chance = F.shiftrightunsigned(F.xxhash64("id", F.lit(SEED)), 11) / F.lit(float(1 << 53))
-    drawn = spark.range(shards * draws).select("id", (_index(edges, chance) - 1).alias("s"))
-    order = Window.partitionBy("s").orderBy("id")
-    drawn = drawn.select(
-        "s", (F.lit(shards) * _pick(whole, F.col("s")) + F.row_number().over(order) - 1).cast("long").alias("slot")
-    )
-    blocks = [p["blocks"] for p in live]
-    steps = [_steps(n, s, e) for s, n in enumerate(blocks) for e in range(MAX_EPOCHS)]
-    key = F.col("s") * MAX_EPOCHS + F.col("epoch")
-    return (
-        fixed.union(drawn)
-        .withColumn("n", _pick(blocks, F.col("s")).cast("long"))
-        .filter(F.col("slot") < F.col("n") * MAX_EPOCHS)
-        .withColumn("epoch", F.expr("slot div n").cast("int"))
-        .select(
-            "s",
-            F.pmod(
-                _pick([a for a, _ in steps], key) * F.pmod("slot", "n") + _pick([b for _, b in steps], key), F.col("n")
-            ).alias("block"),
-        )
-        .groupBy("s", "block")
-        .agg(F.count(F.lit(1)).alias("uses"))
-        .select(_pick([p["src"] for p in live], F.col("s")).alias("src"), "block", "uses")
-    )
+    counts = shard_counts(spark, plan, shard)
+    slots = counts.select("src", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
+    epoch, at = F.expr("slot div blocks"), F.pmod("slot", "blocks")
+    block = permuted(at, F.col("blocks"), F.col("src"), epoch, F.lit(SEED))
+    return slots.select("src", block.alias("block")).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
 
 
 def _pieces(places: DataFrame, kept: list[str], block: int) -> DataFrame:

@@ -134,11 +134,69 @@ def test_mix(spark, docs, odd):
     assert mixing.mixed_documents(odd, [1, 2, 3]).columns == odd.columns
 
 
-@pytest.mark.parametrize("n", [1, 2, 7, 64, 1000])
-def test_permutations(n):
-    for epoch in range(3):
-        a, b = mixing._steps(n, 1, epoch)
-        assert sorted((a * i + b) % n for i in range(n)) == list(range(n))
+@pytest.mark.parametrize("n", [*range(1, 40), 99, 100, 101, 1000, 10_007])
+def test_permutations(spark, n):
+    i, size = F.col("id"), F.lit(n).cast("long")
+    keys = [(F.lit("a"), F.lit(0)), (F.lit("a"), F.lit(1)), (F.lit("b"), F.lit(0))]
+    found = [sorted(c) for c in zip(*rows(spark.range(n).select(*(mixing.permuted(i, size, *k) for k in keys))))]
+    assert found == [list(range(n))] * 3
+
+
+def undone(y, n, rounds_of):
+    """The number that ``permuted`` sends to ``y``, by going the rounds back."""
+    import math
+
+    high = math.ceil(math.sqrt(n))
+    low = -(-n // high)
+    while True:
+        left, right = divmod(y, low)
+        for step in range(mixing.ROUNDS - 2, -1, -2):
+            right = (right - rounds_of(left, step + 1) % low) % low
+            left = (left - rounds_of(right, step) % high) % high
+        y = left * low + right
+        if y < n:
+            return y
+
+
+@pytest.mark.parametrize("n", [5_000_000_000, 1_000_000_000_000])
+def test_permutations_of_many(spark, n):
+    """No overflow, and the rounds can be undone, so no two numbers meet."""
+    import struct
+
+    import xxhash
+
+    def rounds_of(value, step):  # as the engine hashes a long and an int, one after the other
+        first = xxhash.xxh64_intdigest(struct.pack("<q", value), 42)
+        h = xxhash.xxh64_intdigest(struct.pack("<i", step), first)
+        return h - (1 << 64) if h >= 1 << 63 else h
+
+    places = spark.range(0, n, n // 400).select("id", mixing.permuted(F.col("id"), F.lit(n).cast("long")).alias("y"))
+    found = rows(places)
+    assert all(0 <= y < n for _, y in found) and len({y for _, y in found}) == len(found)
+    assert [undone(y, n, rounds_of) for _, y in found] == [i for i, _ in found]
+
+
+def test_shard_counts(spark):
+    """Sources' totals are their targets; the counts of shards spread as draws do."""
+    slots = {"a": 3000.2, "b": 12_000.0, "c": 45_000.4, "d": 0.0}
+    plan = [{"src": s, "blocks": 20_000, "slots": n} for s, n in slots.items()]
+    found = mixing.shard_counts(spark, plan, shard=300).toPandas()
+    assert found.groupby("src")["n"].sum().to_dict() == {"a": 3000, "b": 12_000, "c": 45_000}
+    wide = found.pivot(index="shard", columns="src", values="n").fillna(0)
+    assert len(wide) == 200 and (wide.sum(axis=1) == 300).all()
+    expected = np.array([3000, 12_000, 45_000]) / 200
+    chi = (((wide - expected) ** 2) / expected).to_numpy().sum()
+    # 199 x 2 degrees of freedom: mean 398, deviation 28
+    assert 398 - 4 * 28.2 < chi < 398 + 4 * 28.2
+    for _, own in found.sort_values("shard").groupby("src"):
+        assert (own["first"] == own["n"].cumsum() - own["n"]).all()
+    assert (mixing.block_uses(spark, plan, 300).toPandas()["uses"] <= 3).all()
+
+
+def test_many_sources(spark):
+    many = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("a b c d e").alias("text"), F.concat(F.lit("s"), "id").alias("source"))
+    found = mixing.mix(many, [1, 2, 3]).agg(F.sum("taken"), F.count(F.lit(1)), F.max("taken")).first()
+    assert found[0] == 15_000 and found[1] == 3000 and found[2] <= 15
 
 
 def test_packing(spark, docs, odd):
