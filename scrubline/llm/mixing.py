@@ -39,7 +39,7 @@ BLOCK = 64
 SHARD = 1 << 16
 MAX_EPOCHS = 3
 SEED = 20240229
-ROUNDS, WALK = 6, 128
+ROUNDS, WALK, MAX_TASKS = 6, 128, 20_000
 
 
 def targets(sizes: list[int], weights: list[float], cap: float = MAX_EPOCHS) -> list[float]:
@@ -127,7 +127,7 @@ def shard_counts(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
     # a source's slots in runs, so that a large source is many rows
     last = F.expr(f"(slots - 1) div {shard}")
     runs = sources.filter("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("run"))
-    runs = runs.repartition("src", "run")
+    runs = runs.repartition(_tasks(plan, shard), "src", "run")
     upto = F.least("slots", (F.col("run") + 1) * shard) - 1
     slots = runs.select("src", "blocks", "before", F.explode(F.sequence(F.col("run") * shard, upto)).alias("slot"))
     place = permuted(F.col("before") + F.col("slot"), F.lit(total).cast("long"), F.lit(SEED))
@@ -136,13 +136,20 @@ def shard_counts(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
     return drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
+def _tasks(plan: list[dict], shard: int) -> int:
+    """Tasks for the slots: their own number, as the rows they are made from look few."""
+    return min(MAX_TASKS, max(1, ceil(sum(p["slots"] for p in plan) / (4 * shard))))
+
+
 def block_uses(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
     """``src``, ``block`` and ``uses``: how often the mix takes each block it takes."""
-    counts = shard_counts(spark, plan, shard)
+    counts = shard_counts(spark, plan, shard).repartition(_tasks(plan, shard), "src", "shard")
     slots = counts.select("src", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     epoch, at = F.expr("slot div blocks"), F.pmod("slot", "blocks")
     block = permuted(at, F.col("blocks"), F.col("src"), epoch, F.lit(SEED))
-    return slots.select("src", block.alias("block")).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
+    uses = slots.select("src", block.alias("block")).groupBy("src", "block").agg(F.count(F.lit(1)).alias("uses"))
+    # as many rows as the mix takes blocks: not to be sent, however few the counts were
+    return uses.hint("shuffle_merge")
 
 
 def _pieces(places: DataFrame, kept: list[str], block: int) -> DataFrame:
