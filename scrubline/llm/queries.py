@@ -36,10 +36,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that the classifier keeps."""
+    """Every document with its perplexity, its threshold and whether it is kept."""
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     found = quality.classify(docs, labels, ["doc_id", "lang"])
-    return found.filter("keep").select("doc_id", "lang", "n_tokens", "perplexity", "threshold")
+    return found.select("doc_id", "lang", "n_tokens", "perplexity", "threshold", "keep")
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

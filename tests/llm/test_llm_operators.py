@@ -271,6 +271,21 @@ def test_kneser_ney_probabilities_add_up(spark):
     assert 1 - tables["unknown"] <= total <= 1 + 1e-6
 
 
+def test_repeated_words_are_unlikely(spark):
+    """The third and later of equal words count as unknown, whatever was trained."""
+    zeros = "0 0 0 0 0 0 0 0 ."
+    model = quality.Model(quality.train(spark.createDataFrame([(f"{zeros} {w} b c a b c .",) for w in "abc" * 15], "text string")))
+    p = [10 ** model.log10(model.words(t), np.array([len(t.split())])) for t in (zeros.encode(), b"0 0 .")]
+    assert (p[0][2:8] < 0.1).all() and (p[0][:2] == p[1][:2]).all() and p[0][1] > 0.5
+
+
+def test_every_document_has_its_decision(spark):
+    found = QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.01")
+    all_, kept = found.count(), found.filter("keep").count()
+    assert all_ == spark.read.parquet("/root/testdata/sf0.01/documents.parquet").count() and 0.8 * all_ < kept < all_
+    assert found.filter("keep and perplexity > threshold and n_tokens > 1").count() == 0
+
+
 def test_licences(spark):
     text = "Intro line of a text.\n" + licences.TEMPLATES["mit"] + "\nLicensed under the Apache License, Version 2.0!"
     df = spark.createDataFrame([(1, text), (2, None), (3, ""), (4, licences.TEMPLATES["isc"].upper()), (4, "x")], "doc_id long, text string")
