@@ -43,7 +43,7 @@ SELECT doc_id, line, licence, round(dice, 6) AS dice FROM found WHERE dice >= {L
     "op9_dated_url_lists": rf"""
 WITH capture AS (
   SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id * 37 % 730 AS INTEGER) AS DATE) AS fetched_on,
-    lower(regexp_extract(url, '{_HOST}', 1)) AS host,
+    rtrim(lower(regexp_extract(url, '{_HOST}', 1)), '.') AS host,
     list_filter(string_split(regexp_extract(url, '{_PATH}', 1), '/'), lambda x: x != '') AS parts,
     row_number() OVER () AS rid
   FROM pages
@@ -60,9 +60,7 @@ day AS (SELECT key, CAST(DATE '2024-01-01' + CAST(d AS INTEGER) AS DATE) AS sinc
 held AS (SELECT *, lead(since) OVER (PARTITION BY key ORDER BY since) AS until FROM day),
 asked AS (
   SELECT rid, fetched_on, i AS rank, array_to_string(string_split(host, '.')[-i:], '.') AS key
-  FROM (SELECT *, unnest(range(2, greatest(len(string_split(host, '.')), 1) + 1)) AS i FROM capture WHERE host != '')
-  UNION ALL
-  SELECT rid, fetched_on, 1, host FROM capture WHERE host != '' AND len(string_split(host, '.')) < 2
+  FROM (SELECT *, unnest(range(1, len(string_split(host, '.')) + 1)) AS i FROM capture WHERE host != '')
   UNION ALL
   SELECT rid, fetched_on, i + 1000, host || '/' || array_to_string(parts[1:i], '/')
   FROM (SELECT *, unnest(range(1, len(parts) + 1)) AS i FROM capture WHERE host != '')

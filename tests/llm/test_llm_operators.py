@@ -432,6 +432,40 @@ def test_urls(spark):
     assert url_lists.filter_urls(p.limit(0), e, ["page_id"]).count() == 0
 
 
+def url_decisions(spark, pages, entries):
+    p = spark.createDataFrame([(*r, "k", 1) for r in pages], "page_id long, url string, day string, key string, bin int")
+    e = spark.createDataFrame([(*r, 0) for r in entries], "key string, day string, action string, at int")
+    p, e = (t.withColumn("day", F.col("day").cast("date")) for t in (p, e))
+    return Counter(rows(url_lists.filter_urls(p, e, ["page_id"]).select("page_id", "blocked", "matched_key")))
+
+
+@pytest.mark.parametrize("key", ["Example.COM", "example.com/", "http://example.com", "https://me@EXAMPLE.com:8080/?q#f", "example.com.", " example.com "])
+def test_forms_of_entry_keys(spark, key):
+    pages = [(1, "http://www.example.com/x", "2024-02-01"), (2, "EXAMPLE.com.", "2024-02-01"), (3, "http://badexample.com/", "2024-02-01")]
+    found = url_decisions(spark, pages, [(key, "2024-01-01", "block")])
+    assert found == Counter([(1, True, "example.com"), (2, True, "example.com"), (3, False, None)])
+
+
+def test_suffixes_paths_and_odd_captures(spark):
+    entries = [("zip", "2024-01-01", "block"), ("a.zip//Docs/", "2024-01-01", "allow"), ("", "2024-01-01", "block"), ("http:///x", "2024-01-01", "block"),
+               (None, "2024-01-01", "block"), ("open.org", "1999-01-01", "block"), ("late.org", "2030-01-01", "block")]
+    long = "http://b.zip/" + "s/" * 20_000
+    pages = [(1, "http://a.zip/Docs/x", "2024-02-01"), (2, "http://a.zip/docs/x", "2024-02-01"), (3, long, "2024-02-01"), (None, "zip", "2024-02-01"),
+             (None, "zip", "2024-02-01"), (4, "http://open.org", "9999-12-31"), (5, "http://late.org", "2029-12-31"), (6, "http://", "2024-02-01"), (7, "http://open.org", None)]
+    found = url_decisions(spark, pages[:2] + [(3, "http://b.zip/s/t", "2024-02-01")] + pages[3:], entries)
+    want = [(1, False, "a.zip/Docs"), (2, True, "zip"), (3, True, "zip"), (None, True, "zip"), (None, True, "zip"), (4, True, "open.org"), (5, False, None), (6, False, None), (7, False, None)]
+    assert found == Counter(want)
+    short = long[:600]
+    assert url_decisions(spark, [(3, short, "2024-02-01")], entries) == Counter([(3, True, "zip")])
+
+
+def test_bins_only_where_captures_are(spark):
+    bins = url_lists._bins_within([3, 4, 9, 50_000], F.col("a"), F.col("b"))
+    df = spark.createDataFrame([(0, None), (4, 9), (5, 8), (10, 3)], "a long, b long")
+    assert [r[0] for r in rows(df.select(bins))] == [[3, 4, 9, 50_000], [4, 9], [], []]
+    assert [r[0] for r in rows(df.select(url_lists._bins_within([], F.col("a"), F.col("b"))))] == [[]] * 4
+
+
 def test_pipeline(spark, docs):
     kept = docs
     for _, stage in corpus_pipeline.STAGES[:3]:
