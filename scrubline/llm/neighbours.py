@@ -10,12 +10,14 @@ bounds do are ranked by their exact cosines on the original vectors.
 
 Queries and candidates meet in blocks: every block of queries with every block of
 candidates, each pair in one task, which returns at most k rows per query.  Blocks
-are made by hashes of identifiers, so equal vectors do not matter.
+are made by hashes of row numbers, so equal vectors do not matter.
 
 Defined cases: vectors that are null, empty or zero, or hold components that are
-null or not finite, and rows without identifier take no part; of several rows with
-one identifier the smallest vector counts; vectors are compared with those of the
-same length only; ties go to the smaller identifier; an empty table gives an empty
+null or not finite, and rows without identifier take no part; rows equal in identifier
+and vector are one row; different vectors with one identifier are rows of their own, each a
+candidate for the others, and each a query with ranks of its own; vectors are brought near
+one by powers of two before they are squared, so no finite component is too large or small;
+vectors are compared with those of the same length only; ties go to the smaller identifier; an empty table gives an empty
 result; further columns do not matter.
 """
 
@@ -44,13 +46,19 @@ def rotation(size: int) -> np.ndarray:
     return worker_value(("rotation", size), make)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """The vectors times powers of two that bring their largest components near one: no
+    digit changes, and no square overflows or vanishes."""
+    return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0))[1])
+
+
 def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
 def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Packed sign bits of the rotated unit vectors, and the correction scalars."""
-    rotated = _unit(vectors) @ rotation(vectors.shape[1])
+    rotated = _unit(scaled(vectors)) @ rotation(vectors.shape[1])
     return np.packbits(rotated > 0, axis=1), np.abs(rotated).sum(axis=1) / np.sqrt(rotated.shape[1])
 
 
@@ -71,14 +79,23 @@ def exact_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def best_of_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: np.ndarray, scalars: np.ndarray, k: int
+    query_rows: np.ndarray,
+    queries: np.ndarray,
+    rows: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    codes: np.ndarray,
+    scalars: np.ndarray,
+    k: int,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(query, candidate, cosine)``: at most ``k`` per query, the best of the block."""
+    """``(place of the query, place of the candidate, cosine)``: at most ``k`` per query, the
+    best of the block.  A candidate is not its own query: ``rows`` number them all."""
     found = []
+    queries, vectors = scaled(queries), scaled(vectors)
     for low in range(0, len(queries), PART):
-        part, part_ids = queries[low : low + PART], query_ids[low : low + PART]
+        part, part_rows = queries[low : low + PART], query_rows[low : low + PART]
         cosines, width = estimate(part, codes, scalars)
-        own = part_ids[:, None] == ids[None, :]
+        own = part_rows[:, None] == rows[None, :]
         cosines[own] = -np.inf
         few = min(4 * k, len(ids))
         first = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
@@ -93,7 +110,7 @@ def best_of_block(
         q, c, score = q[order], c[order], score[order]
         nth = np.arange(len(q)) - np.searchsorted(q, q)
         best = nth < k
-        found.append((part_ids[q[best]], ids[c[best]], score[best]))
+        found.append((low + q[best], c[best], score[best]))
     return tuple(map(np.concatenate, zip(*found)))
 
 
@@ -104,12 +121,12 @@ def _valid(vector: Column) -> Column:
 
 
 def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``id``, ``size``, ``vector``, ``code`` and ``scalar`` of every valid vector."""
+    """``row`` (its number), ``id``, ``size``, ``vector``, ``code`` and ``scalar`` of every
+    valid vector; rows with the same identifier and vector are one."""
     rows = (
         vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
         .filter(F.col("id").isNotNull() & _valid(F.col("vector")))
-        .groupBy("id")
-        .agg(F.min("vector").alias("vector"))
+        .distinct()
         .withColumn("size", F.size("vector"))
     )
 
@@ -125,7 +142,8 @@ def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
                 )
 
     columns = rows.select("id", "size", "vector")
-    return columns.mapInArrow(run, "id long, size int, vector array<double>, code binary, scalar double")
+    coded = columns.mapInArrow(run, "id long, size int, vector array<double>, code binary, scalar double")
+    return coded.withColumn("row", F.monotonically_increasing_id())
 
 
 def _matrix(column) -> np.ndarray:
@@ -145,29 +163,31 @@ def nearest(
     def every(n: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = coded.select("*", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), every(query_blocks).alias("asked"))
+    left = coded.select("*", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), every(query_blocks).alias("asked"))
     right = asked.select(
-        "id", "size", "vector", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(query_blocks)).cast("int").alias("asked"), every(blocks).alias("block")
+        "row", "id", "size", "vector", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(query_blocks)).cast("int").alias("asked"), every(blocks).alias("block")
     )
-    schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(candidates) or not len(queries):
             return schema.empty_table()
         codes = np.frombuffer(b"".join(candidates["code"].to_pylist()), np.uint8).reshape(len(candidates), -1)
-        found = best_of_block(
-            queries["id"].to_numpy(),
+        q, c, score = best_of_block(
+            queries["row"].to_numpy(),
             _matrix(queries["vector"].combine_chunks()),
+            candidates["row"].to_numpy(),
             candidates["id"].to_numpy(),
             _matrix(candidates["vector"].combine_chunks()),
             codes,
             candidates["scalar"].to_numpy(),
             k,
         )
-        return pa.table(list(found), schema=schema)
+        asked, near = queries.select(["row", "id"]).take(pa.array(q)), candidates["id"].take(pa.array(c))
+        return pa.table([*asked.columns, near, pa.array(score)], schema=schema)
 
     keys = ["size", "block", "asked"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_row long, query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

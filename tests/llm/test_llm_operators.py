@@ -385,6 +385,35 @@ def test_neighbours(spark):
     assert neighbours.nearest(df.limit(0), F.col("id") % 50 == 0).count() == 0
 
 
+def test_nearest_on_the_given_vectors(spark):
+    """Queries are the rows whose identifier 50 divides, candidates all rows."""
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    table = {r["vec_id"]: np.array(r["embedding"], float) for r in df.collect()}
+    ids, unit = np.array(list(table)), np.array([v / np.linalg.norm(v) for v in table.values()])
+    found = QUERIES["op7_rotated_codes_search"](spark, SF).toPandas()
+    hits = n = 0
+    for q in (i for i in table if i % 50 == 0):
+        cos = np.where(ids == q, -2, unit @ unit[ids == q][0])
+        want = ids[np.lexsort((ids, -np.round(cos, 12)))[:5]]
+        hits += len(set(want) & set(found.loc[found["query_id"] == q, "vec_id"]))
+        n += 5
+    assert hits >= 0.9 * n and len(found) == n
+
+
+def test_nearest_with_equal_identifiers_and_extremes(spark):
+    rows_ = [(0, [1.0, 0.0], 7), (1, [0.0, 1.0], 7), (1, [1.0, 0.1], 7), (1, [1.0, 0.1], 7), (2, [1e200, 1e199], 7), (3, [1e-200, 0.0], 7), (4, [5e-324, 0.0], 7),
+             (50, [1.0, 1.0], 7), (50, [-1.0, 0.0], 7), (6, [1.0, 0.0, 0.0], 7)]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>, row long").withColumn("code", F.lit("x")).withColumn("size", F.lit(1))
+    found = neighbours.nearest(df, F.col("id") % 50 == 0, k=8).toPandas()
+    first = found[found["query_id"] == 0].sort_values("rank")
+    assert first["vec_id"].tolist() == [3, 4, 1, 2, 50, 1, 50] and first["rank"].tolist() == [1, 2, 3, 4, 5, 6, 7]
+    c = 1 / math.sqrt(1.01)
+    assert first["score"].tolist() == pytest.approx([1, 1, c, c, math.sqrt(0.5), 0, -1], abs=1e-15)
+    # both vectors of 50 ask, and each is a candidate of the other
+    both = found[found["query_id"] == 50]
+    assert len(both) == 14 and (both["vec_id"] == 50).sum() == 2
+
+
 def test_bloom_scores(spark, docs, odd):
     marked = docs.withColumn("held_out", lm_bloom.held_out(F.col("doc_id")))
     sent, joined = (
