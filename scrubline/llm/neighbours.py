@@ -1,23 +1,31 @@
 """Approximate nearest neighbours by randomly rotated one-bit codes.
 
-A unit vector is padded with zeros to ``WIDEN`` times its length, rotated at random
-and kept as the signs of its components, one bit each, with one correction scalar:
-the inner product of the rotated vector and its own code.  The inner product of a
-query with the code, divided by that scalar, estimates the cosine, and the scalar
-also gives the width of its error bound.  In a block of candidates, the exact
-cosines of the best few estimates say what a candidate has to reach; all whose upper
-bounds do are ranked by their exact cosines on the original vectors.
-
-Queries and candidates meet in blocks: every block of queries with every block of
-candidates, each pair in one task, which returns at most k rows per query.  Blocks
-are made by hashes of row numbers, so equal vectors do not matter.
+Equal vectors are one class, with the ``k + 1`` smallest of their identifiers; no result
+needs more.  Classes are dealt to cells, by the nearest of at most ``CENTRES`` centres,
+which are fitted on a bounded sample of ``PER_CENTRE`` vectors a centre.  What a unit
+vector has beside its centre is rotated at random into ``WIDEN`` times its length and
+kept as the signs of its components, one bit each, with three scalars: its cosine with
+the centre, the length of the rest, and the inner product of the rotated rest and its
+own code.  A rotated query is rounded to ``PLANES`` bits a component.  Population counts of code and
+query bits, divided by the last scalar, estimate the cosine, and the scalars also give the
+width of its error bound (``BOUND`` standard deviations).
+
+A query first asks its ``HOME`` nearest cells for their best estimates; the exact cosines of
+these say what a candidate has to reach.  Then it asks every cell that can hold such a
+candidate: what vectors of a cell have beside its centre makes an angle with the query
+whose cosine is at most ``CELL_BOUND`` standard deviations of a random one, or 1 in few
+dimensions, which is the triangle inequality.  Candidates whose upper bounds reach
+the floor are joined with their vectors and ranked by exact cosines.  Only codes, scalars and
+numbers go to the blocks, which are parts of cells with parts of their queries; vectors go
+to the candidates that are ranked.  No bound is a cap: candidates that reach the floor are all ranked.
 
 Defined cases: vectors that are null, empty or zero, or hold components that are
 null or not finite, and rows without identifier take no part; rows equal in identifier
 and vector are one row; different vectors with one identifier are rows of their own, each a
 candidate for the others, and each a query with ranks of its own; vectors are brought near
 one by powers of two before they are squared, so no finite component is too large or small;
-vectors are compared with those of the same length only; ties go to the smaller identifier; an empty table gives an empty
+vectors are compared with those of the same length only, and lengths beyond the ``LENGTHS``
+commonest, or with few vectors, have one cell; ties go to the smaller identifier; an empty table gives an empty
 result; further columns do not matter.
 """
 
@@ -32,15 +40,20 @@ from pyspark.sql import functions as F
 
 from .common import stage, worker_value
 
-SEED, BOUND, WIDEN = 7, 3.0, 4
-CANDIDATES, QUERIES, PART = 8192, 2048, 256
+SEED, WIDEN, PLANES, BOUND, CELL_BOUND = 7, 4, 4, 2.25, 4.0
+CELL, CENTRES, PER_CENTRE, VALUES, LENGTHS, ROUNDS, HOME = 8192, 1024, 32, 1 << 18, 16, 5, 4
+CANDIDATES, QUERIES, PART, SALTS = 32768, 2048, 32, 8
+
+CODES = "row long, size int, cell int, code binary, along double, rest double, scalar double"
+ASKED = "q long, size int, cell int, cosine double, floor double, bits binary, low double, step double, total double"
 
 
 def rotation(size: int) -> np.ndarray:
-    """The first ``size`` rows of a random orthogonal matrix, the same everywhere."""
+    """``size`` orthogonal rows of a whole number of 64-bit words, the same everywhere."""
 
     def make() -> np.ndarray:
-        q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((size * WIDEN, size)))
+        bits = -(-size * WIDEN // 64) * 64
+        q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((bits, size)))
         return (q * np.sign(np.diag(r))).T
 
     return worker_value(("rotation", size), make)
@@ -52,66 +65,87 @@ def scaled(vectors: np.ndarray) -> np.ndarray:
     return np.ldexp(vectors, -np.frexp(np.abs(vectors).max(axis=1, keepdims=True, initial=0))[1])
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
+def unit(vectors: np.ndarray) -> np.ndarray:
+    vectors = scaled(vectors)
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def encode(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed sign bits of the rotated unit vectors, and the correction scalars."""
-    rotated = _unit(scaled(vectors)) @ rotation(vectors.shape[1])
-    return np.packbits(rotated > 0, axis=1), np.abs(rotated).sum(axis=1) / np.sqrt(rotated.shape[1])
-
-
-def estimate(queries: np.ndarray, codes: np.ndarray, scalars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Estimated cosines of queries and coded vectors, and the width of the error bound
-    of each coded vector."""
-    rotated = (_unit(queries) @ rotation(queries.shape[1])).astype(np.float32)
-    bits = rotated.shape[1]
-    signs = np.unpackbits(codes, axis=1, count=bits).astype(np.float32) * 2 - 1
-    cosines = rotated @ signs.T / (np.sqrt(bits) * scalars).astype(np.float32)
-    width = BOUND * np.sqrt(np.maximum(0, 1 - scalars**2)) / scalars / np.sqrt(max(1, bits - 1))
-    return cosines, width.astype(np.float32) + np.float32(1e-5)
-
-
 def exact_cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of the rows of two tables, in double precision."""
+    a, b = scaled(a), scaled(b)
     return (a * b).sum(axis=1) / (np.sqrt((a * a).sum(axis=1)) * np.sqrt((b * b).sum(axis=1)))
 
 
-def best_of_block(
-    query_rows: np.ndarray,
-    queries: np.ndarray,
-    rows: np.ndarray,
-    ids: np.ndarray,
-    vectors: np.ndarray,
-    codes: np.ndarray,
-    scalars: np.ndarray,
-    k: int,
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(place of the query, place of the candidate, cosine)``: at most ``k`` per query, the
-    best of the block.  A candidate is not its own query: ``rows`` number them all."""
-    found = []
-    queries, vectors = scaled(queries), scaled(vectors)
-    for low in range(0, len(queries), PART):
-        part, part_rows = queries[low : low + PART], query_rows[low : low + PART]
-        cosines, width = estimate(part, codes, scalars)
-        own = part_rows[:, None] == rows[None, :]
-        cosines[own] = -np.inf
-        few = min(4 * k, len(ids))
-        first = np.argpartition(-cosines, few - 1, axis=1)[:, :few]
-        reached = exact_cosines(np.repeat(part, few, axis=0), vectors[first.ravel()]).reshape(-1, few)
-        reached[np.take_along_axis(own, first, axis=1)] = -np.inf
-        floor = -np.sort(-reached, axis=1)[:, min(k, few) - 1 : min(k, few)]
-        q, c = np.nonzero((cosines + width >= floor - 1e-6) & ~own)
-        score = np.concatenate(
-            [exact_cosines(part[q[i : i + 65536]], vectors[c[i : i + 65536]]) for i in range(0, len(q), 65536)] or [np.zeros(0)]
-        )
-        order = np.lexsort((ids[c], -score, q))
-        q, c, score = q[order], c[order], score[order]
-        nth = np.arange(len(q)) - np.searchsorted(q, q)
-        best = nth < k
-        found.append((low + q[best], c[best], score[best]))
-    return tuple(map(np.concatenate, zip(*found)))
+def fit_centres(sample: np.ndarray, count: int) -> np.ndarray:
+    """Unit centres of a sample of vectors."""
+    points = unit(sample)
+    centres = points[:count].copy()
+    for _ in range(ROUNDS):
+        sums = np.zeros_like(centres)
+        np.add.at(sums, np.argmax(points @ centres.T, axis=1), points)
+        lengths = np.linalg.norm(sums, axis=1, keepdims=True)
+        centres = np.where(lengths > 1e-9, sums / np.maximum(lengths, 1e-9), centres)
+    return centres
+
+
+def encode(vectors: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Cells, sign bits in words, cosines with the centres, lengths of the rests, and the
+    inner products of the rests' directions with their codes."""
+    points = unit(vectors)
+    cosines = points @ centres.T
+    cell = np.argmax(cosines, axis=1)
+    along = cosines[np.arange(len(cell)), cell]
+    rest = points - along[:, None] * centres[cell]
+    length = np.linalg.norm(rest, axis=1)
+    rotated = (rest / np.maximum(length, 1e-12)[:, None]) @ rotation(points.shape[1])
+    scalar = np.abs(rotated).sum(axis=1) / np.sqrt(rotated.shape[1])
+    words = np.packbits(rotated > 0, axis=1).view(np.uint64)
+    return cell, words, along, length, np.where(length > 1e-9, scalar, 1.0)
+
+
+def planes(queries: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rotated unit queries rounded to ``PLANES`` bits a component, as words by query and
+    plane, with the least value, the step and the sum of the components."""
+    rotated = unit(queries) @ rotation(queries.shape[1])
+    low = rotated.min(axis=1)
+    step = (rotated.max(axis=1) - low) / (2**PLANES - 1)
+    step = np.where(step > 0, step, 1.0)
+    level = np.rint((rotated - low[:, None]) / step[:, None]).astype(np.uint8)
+    bits = np.stack([np.packbits(level >> j & 1, axis=1) for j in range(PLANES)], axis=1)
+    return bits.view(np.uint64), low, step, rotated.sum(axis=1)
+
+
+def estimate(
+    bits: np.ndarray, low: np.ndarray, step: np.ndarray, total: np.ndarray, cosine: np.ndarray,
+    words: np.ndarray, along: np.ndarray, rest: np.ndarray, scalar: np.ndarray,
+) -> tuple[np.ndarray, np.ndarray]:
+    """Estimated cosines of queries (first line) and coded vectors (second) of one cell,
+    and the widths of their error bounds."""
+    size = words.shape[1] * 64
+    level = np.zeros((len(bits), len(words)), np.int32)
+    for w in range(words.shape[1]):
+        column = np.ascontiguousarray(words[:, w])
+        for j in range(PLANES):
+            level += np.bitwise_count(column & bits[:, j, w, None]).astype(np.int32) << j
+    held = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
+    inner = 2 * (low[:, None] * held + step[:, None] * level) - total[:, None]
+    factor = rest / scalar
+    code_error = np.sqrt(np.maximum(0, 1 - scalar**2) / max(1, size - 1))
+    width = BOUND * factor * (code_error + step[:, None] / np.sqrt(6))
+    return cosine[:, None] * along + inner * (factor / np.sqrt(size)), width + 1e-6
+
+
+def reach(cosine: np.ndarray, least: np.ndarray, most: np.ndarray, size: int) -> np.ndarray:
+    """Upper bounds of cosines of queries with the vectors of cells, from the queries'
+    cosines with the centres and the least and largest cosines of the vectors with them."""
+    share = min(1.0, CELL_BOUND / np.sqrt(max(1, size - 1)))
+    across = share * np.sqrt(np.maximum(0, 1 - cosine**2))
+
+    def at(along: np.ndarray) -> np.ndarray:
+        return along * cosine + np.sqrt(np.maximum(0, 1 - along**2)) * across
+
+    top = cosine / np.maximum(np.hypot(cosine, across), 1e-12)
+    return at(np.clip(top, least, most)) + 1e-6
 
 
 def _valid(vector: Column) -> Column:
@@ -120,74 +154,176 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & fine & some
 
 
-def index(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``row`` (its number), ``id``, ``size``, ``vector``, ``code`` and ``scalar`` of every
-    valid vector; rows with the same identifier and vector are one."""
-    rows = (
-        vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
-        .filter(F.col("id").isNotNull() & _valid(F.col("vector")))
-        .distinct()
-        .withColumn("size", F.size("vector"))
-    )
+def _matrix(column) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+
+def _words(column, *shape: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(len(column), *shape)
+
+
+def _by_size(run, schema: str, most: int = 1024):
+    """A function of record batches that calls ``run(size, at most ``most`` rows of that size)``."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def batches(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in found:
             sizes = batch.column("size").to_numpy()
             for size in np.unique(sizes):
-                part = batch.filter(pa.array(sizes == size))
-                codes, scalars = encode(_matrix(part.column("vector")))
-                yield pa.RecordBatch.from_arrays(
-                    [*[part.column(c) for c in ("id", "size", "vector")], pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(scalars)],
-                    names=["id", "size", "vector", "code", "scalar"],
-                )
+                rows = batch.filter(pa.array(sizes == size))
+                for low in range(0, len(rows), most):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in run(int(size), rows.slice(low, most))], names=names)
 
-    columns = rows.select("id", "size", "vector")
-    coded = columns.mapInArrow(run, "id long, size int, vector array<double>, code binary, scalar double")
-    return coded.withColumn("row", F.monotonically_increasing_id())
+    return batches
 
 
-def _matrix(column) -> np.ndarray:
-    return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
+def _packed(words: np.ndarray) -> pa.Array:
+    return pa.array([w.tobytes() for w in words], pa.binary())
 
 
-def nearest(
-    vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding"
-) -> DataFrame:
-    """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest vectors of
-    each query, a vector whose ``id`` fulfils ``is_query``."""
-    coded = stage(index(vectors, id_col, vector_col), "codes")
-    asked = coded.filter(is_query)
-    rows, queries = coded.count(), asked.count()
-    blocks, query_blocks = -(-rows // CANDIDATES) or 1, -(-queries // QUERIES) or 1
+def centres_of(vectors: DataFrame) -> dict[int, np.ndarray]:
+    """Centres by length: at most ``LENGTHS`` lengths of at most ``VALUES`` numbers."""
+    found = {}
+    sizes = vectors.groupBy("size").count().filter(F.col("count") >= 2 * CELL).orderBy(F.desc("count"), "size").limit(LENGTHS)
+    for size, n in sizes.collect():
+        count = max(1, min(CENTRES, n // CELL, VALUES // size))
+        key = F.xxhash64("vector")
+        some = vectors.filter((F.col("size") == size) & (F.pmod(key, F.lit(n)) < 2 * PER_CENTRE * count))
+        sample = some.select("vector").orderBy(key, "vector").limit(PER_CENTRE * count).collect()
+        if len(sample) >= count:
+            found[size] = fit_centres(np.array([r["vector"] for r in sample]), count)
+    return found
 
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
-    left = coded.select("*", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), every(query_blocks).alias("asked"))
-    right = asked.select(
-        "row", "id", "size", "vector", F.pmod(F.xxhash64("row", F.lit(1)), F.lit(query_blocks)).cast("int").alias("asked"), every(blocks).alias("block")
-    )
-    schema = pa.schema([("query_row", pa.int64()), ("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+def index(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame, dict[int, np.ndarray]]:
+    """Classes of equal vectors (``row``, ``size``, ``vector``, and ``ids``, the ``keep`` smallest
+    identifiers), their codes, and the centres by length.  Every vector is coded."""
+    nth = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    classes = rows.withColumn("nth", nth).filter(F.col("nth") <= keep).groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+    classes = stage(classes.select(F.monotonically_increasing_id().alias("row"), F.size("vector").alias("size"), "vector", "ids"), "vectors")
+    centres = centres_of(classes)
+
+    def run(size: int, part: pa.RecordBatch) -> list:
+        cell, words, *scalars = encode(_matrix(part.column("vector")), centres.get(size, np.zeros((1, size))))
+        return [part.column("row"), part.column("size"), cell.astype(np.int32), _packed(words), *scalars]
+
+    return classes, stage(classes.select("row", "size", "vector").mapInArrow(_by_size(run, CODES), CODES), "codes"), centres
+
+
+def _ask(asked: DataFrame, centres: dict[int, np.ndarray], bounds: dict[tuple[int, int], tuple[float, float]]) -> DataFrame:
+    """Queries with the cells they ask: without ``floor`` the nearest, else all within reach."""
+
+    def run(size: int, part: pa.RecordBatch) -> list:
+        queries = _matrix(part.column("vector"))
+        cosines = unit(queries) @ centres.get(size, np.zeros((1, size))).T
+        floor = part.column("floor").to_numpy(zero_copy_only=False).astype(float)
+        span = np.array([bounds.get((size, c), (-1.0, 1.0)) for c in range(cosines.shape[1])])
+        wanted = reach(cosines, span[:, 0], span[:, 1], size) >= floor[:, None]
+        home = np.argsort(-cosines, axis=1, kind="stable")[:, :HOME]
+        first = np.zeros_like(wanted)
+        np.put_along_axis(first, home, True, axis=1)
+        q, cell = np.nonzero(np.where(np.isnan(floor)[:, None], first, wanted))
+        bits, low, step, total = planes(queries)
+        packed = _packed(bits).take(pa.array(q))
+        ids = part.column("q").take(pa.array(q))
+        return [ids, np.full(len(q), size, np.int32), cell.astype(np.int32), cosines[q, cell], floor[q], packed, low[q], step[q], total[q]]
+
+    return asked.select("q", "size", "vector", "floor").mapInArrow(_by_size(run, ASKED, 128), ASKED)
+
+
+def _scan(codes: DataFrame, cells: DataFrame, asking: DataFrame, few: int) -> DataFrame:
+    """``q`` and ``row`` of the candidates in the asked cells: those whose upper bound reaches
+    the floor, or the ``few`` best estimates of each block for queries without one."""
+    wanted = asking.groupBy("size", "cell").agg(F.ceil(F.count(F.lit(1)) / QUERIES).cast("int").alias("groups"))
+    blocks = cells.join(wanted, ["size", "cell"]).select("size", "cell", F.ceil(F.col("n") / CANDIDATES).cast("int").alias("parts"), "groups")
+
+    def one(n: str, key: str) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit(1)), F.col(n)).cast("int")
+
+    def every(n: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    left = codes.join(blocks, ["size", "cell"]).withColumn("part", one("parts", "row")).withColumn("part_of", every("groups")).drop("parts", "groups")
+    right = asking.join(blocks, ["size", "cell"]).withColumn("part_of", one("groups", "q")).withColumn("part", every("parts")).drop("parts", "groups")
+    schema = pa.schema([("q", pa.int64()), ("row", pa.int64())])
 
     def search(candidates: pa.Table, queries: pa.Table) -> pa.Table:
         if not len(candidates) or not len(queries):
             return schema.empty_table()
-        codes = np.frombuffer(b"".join(candidates["code"].to_pylist()), np.uint8).reshape(len(candidates), -1)
-        q, c, score = best_of_block(
-            queries["row"].to_numpy(),
-            _matrix(queries["vector"].combine_chunks()),
-            candidates["row"].to_numpy(),
-            candidates["id"].to_numpy(),
-            _matrix(candidates["vector"].combine_chunks()),
-            codes,
-            candidates["scalar"].to_numpy(),
-            k,
-        )
-        asked, near = queries.select(["row", "id"]).take(pa.array(q)), candidates["id"].take(pa.array(c))
-        return pa.table([*asked.columns, near, pa.array(score)], schema=schema)
-
-    keys = ["size", "block", "asked"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_row long, query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
-    ranked = pairs.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+        words = _words(candidates["code"], -1)
+        scalars = [candidates[c].to_numpy() for c in ("along", "rest", "scalar")]
+        asked, rows, found = queries["q"].to_numpy(), candidates["row"].to_numpy(), []
+        for low in range(0, len(queries), PART):
+            part = queries.slice(low, PART)
+            numbers = [part[c].to_numpy() for c in ("low", "step", "total", "cosine")]
+            floor = part["floor"].to_numpy()
+            cosines, width = estimate(_words(part["bits"], PLANES, words.shape[1]), *numbers, words, *scalars)
+            q, c = np.nonzero(cosines + width >= floor[:, None])
+            found.append((asked[low + q], rows[c]))
+            first = np.flatnonzero(np.isnan(floor))
+            n = min(few, len(rows))
+            best = np.argpartition(-cosines[first], n - 1, axis=1)[:, :n]
+            found.append((np.repeat(asked[low + first], n), rows[best.ravel()]))
+        return pa.table([pa.array(np.concatenate(x)) for x in zip(*found)], schema=schema)
+
+    keys = ["size", "cell", "part", "part_of"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "q long, row long")
+
+
+def _ranked(pairs: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
+    """``q``, exact ``score``, ``same`` (equal vectors) and ``ids`` of pairs."""
+    both = pairs.join(classes.select("row", "vector", "ids"), "row").join(asked.select("q", F.col("vector").alias("query")), "q")
+    schema = "q long, score double, same boolean, ids array<long>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column("query").offsets.to_numpy())
+            for size in np.unique(sizes):
+                part = batch.filter(pa.array(sizes == size))
+                a, b = _matrix(part.column("query")), _matrix(part.column("vector"))
+                columns = [part.column("q"), pa.array(exact_cosines(a, b)), pa.array((a == b).all(axis=1)), part.column("ids")]
+                yield pa.RecordBatch.from_arrays(columns, names=["q", "score", "same", "ids"])
+
+    return both.select("q", "query", "vector", "ids").mapInArrow(run, schema)
+
+
+def nearest(
+    vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding"
+) -> DataFrame:
+    """``query_id``, ``rank``, ``vec_id`` and ``score`` of the ``k`` nearest vectors of
+    each query, a vector whose ``id`` fulfils ``is_query``."""
+    rows = (
+        vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+        .filter(F.col("id").isNotNull() & _valid(F.col("vector")))
+        .distinct()
+    )
+    # one result more: a query is among its own candidates
+    most = k + 1
+    classes, codes, centres = index(rows, most)
+    cells = codes.groupBy("size", "cell").agg(F.count(F.lit(1)).alias("n"), F.min("along").alias("least"), F.max("along").alias("most"))
+    # one row a centre, and their number has a bound
+    known = cells.filter(F.col("size").isin(list(centres))).collect() if centres else []
+    bounds = {(r["size"], r["cell"]): (r["least"], r["most"]) for r in known}
+
+    queries = rows.filter(is_query)
+    asked = queries.select("vector").distinct().select(F.monotonically_increasing_id().alias("q"), F.size("vector").alias("size"), "vector")
+    asked = stage(asked, "asked")
+    first = _ask(asked.withColumn("floor", F.lit(None).cast("double")), centres, bounds)
+    # a row of few results has no floor and asks for everything of its length
+    nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
+    reached = _ranked(_scan(codes, cells, first, 4 * most), classes, asked).select("q", "score").withColumn("nth", nth)
+    floors = reached.filter(F.col("nth") == most).select("q", (F.col("score") - 1e-6).alias("floor"))
+    again = asked.join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
+    asking = stage(_ask(again, centres, bounds), "asking")
+
+    found = _ranked(_scan(codes, cells, asking, 0), classes, asked).select("q", "score", "same", F.explode("ids").alias("id"))
+    best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
+    found = found.withColumn("nth", best).filter(F.col("nth") <= most)
+    lists = found.groupBy("q").agg(F.sort_array(F.collect_list(F.struct("nth", "id", "score", "same"))).alias("near"))
+    # many queries may share a vector: its list goes to several tasks
+    lists = lists.join(asked, "q").select("vector", "near", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = queries.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    others = F.filter("near", lambda x: ~(x["same"] & (x["id"] == F.col("id"))))
+    result = salted.join(lists, ["vector", "salt"]).select(F.col("id").alias("query_id"), F.posexplode(F.slice(others, 1, k)).alias("at", "x"))
+    return result.select("query_id", (F.col("at") + 1).alias("rank"), F.col("x.id").alias("vec_id"), F.col("x.score").alias("score"))
