@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from .common import stage, worker_value
 
-SEED, WIDEN, PLANES, BOUND, CELL_BOUND = 7, 4, 4, 2.25, 4.0
+SEED, WIDEN, PLANES, BOUND, CELL_BOUND = 7, 4, 4, 2.5, 4.0
 CELL, CENTRES, PER_CENTRE, VALUES, LENGTHS, ROUNDS, HOME = 8192, 1024, 32, 1 << 18, 16, 5, 4
 CANDIDATES, QUERIES, PART, SALTS = 32768, 2048, 32, 8
 
