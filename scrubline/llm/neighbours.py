@@ -11,10 +11,10 @@ query bits, divided by the last scalar, estimate the cosine, and the scalars als
 width of its error bound (``BOUND`` standard deviations).
 
 A query first asks its ``HOME`` nearest cells for their best estimates; the exact cosines of
-these say what a candidate has to reach.  Then it asks every cell that can hold such a
-candidate: what vectors of a cell have beside its centre makes an angle with the query
-whose cosine is at most ``CELL_BOUND`` standard deviations of a random one, or 1 in few
-dimensions, which is the triangle inequality.  Candidates whose upper bounds reach
+these say what a candidate has to reach.  Then it asks the nearest cells that can hold such a
+candidate by the triangle inequality.  How many of the nearest is measured: ``TRIALS`` queries of each length,
+chosen by hash, ask all cells, and ``SHARE`` of their results have to be in the cells asked.
+Vectors without structure need almost all cells, then, and clustered ones few.  Candidates whose upper bounds reach
 the floor are joined with their vectors and ranked by exact cosines.  Only codes, scalars and
 numbers go to the blocks, which are parts of cells with parts of their queries; vectors go
 to the candidates that are ranked.  No bound is a cap: candidates that reach the floor are all ranked.
@@ -40,12 +40,12 @@ from pyspark.sql import functions as F
 
 from .common import stage, worker_value
 
-SEED, WIDEN, PLANES, BOUND, CELL_BOUND = 7, 4, 4, 2.5, 4.0
+SEED, WIDEN, PLANES, BOUND, TRIALS, SHARE = 7, 4, 4, 2.5, 256, 0.99
 CELL, CENTRES, PER_CENTRE, VALUES, LENGTHS, ROUNDS, HOME = 8192, 1024, 32, 1 << 18, 16, 5, 4
 CANDIDATES, QUERIES, PART, SALTS = 32768, 2048, 32, 8
 
 CODES = "row long, size int, cell int, code binary, along double, rest double, scalar double"
-ASKED = "q long, size int, cell int, cosine double, floor double, bits binary, low double, step double, total double"
+ASKED = "q long, size int, cell int, nth int, cosine double, floor double, bits binary, low double, step double, total double"
 
 
 def rotation(size: int) -> np.ndarray:
@@ -122,11 +122,12 @@ def estimate(
     """Estimated cosines of queries (first line) and coded vectors (second) of one cell,
     and the widths of their error bounds."""
     size = words.shape[1] * 64
-    level = np.zeros((len(bits), len(words)), np.int32)
-    for w in range(words.shape[1]):
-        column = np.ascontiguousarray(words[:, w])
-        for j in range(PLANES):
-            level += np.bitwise_count(column & bits[:, j, w, None]).astype(np.int32) << j
+    whole = np.uint16 if size << PLANES < 1 << 16 else np.uint32
+    level = np.zeros((len(bits), len(words)), whole)
+    for j in reversed(range(PLANES)):
+        level <<= 1
+        for column, asked in zip(np.ascontiguousarray(words.T), bits[:, j].T):
+            level += np.bitwise_count(column & asked[:, None])
     held = np.bitwise_count(words).sum(axis=1, dtype=np.int64)
     inner = 2 * (low[:, None] * held + step[:, None] * level) - total[:, None]
     factor = rest / scalar
@@ -135,17 +136,15 @@ def estimate(
     return cosine[:, None] * along + inner * (factor / np.sqrt(size)), width + 1e-6
 
 
-def reach(cosine: np.ndarray, least: np.ndarray, most: np.ndarray, size: int) -> np.ndarray:
+def reach(cosine: np.ndarray, least: np.ndarray, most: np.ndarray) -> np.ndarray:
     """Upper bounds of cosines of queries with the vectors of cells, from the queries'
     cosines with the centres and the least and largest cosines of the vectors with them."""
-    share = min(1.0, CELL_BOUND / np.sqrt(max(1, size - 1)))
-    across = share * np.sqrt(np.maximum(0, 1 - cosine**2))
+    across = np.sqrt(np.maximum(0, 1 - cosine**2))
 
     def at(along: np.ndarray) -> np.ndarray:
         return along * cosine + np.sqrt(np.maximum(0, 1 - along**2)) * across
 
-    top = cosine / np.maximum(np.hypot(cosine, across), 1e-12)
-    return at(np.clip(top, least, most)) + 1e-6
+    return at(np.clip(cosine, least, most)) + 1e-6
 
 
 def _valid(vector: Column) -> Column:
@@ -211,23 +210,22 @@ def index(rows: DataFrame, keep: int) -> tuple[DataFrame, DataFrame, dict[int, n
     return classes, stage(classes.select("row", "size", "vector").mapInArrow(_by_size(run, CODES), CODES), "codes"), centres
 
 
-def _ask(asked: DataFrame, centres: dict[int, np.ndarray], bounds: dict[tuple[int, int], tuple[float, float]]) -> DataFrame:
-    """Queries with the cells they ask: without ``floor`` the nearest, else all within reach."""
+def _ask(asked: DataFrame, centres: dict[int, np.ndarray], bounds: dict[tuple[int, int], tuple[float, float]], probes: dict[int, int]) -> DataFrame:
+    """Queries with the cells they ask, by nearness of the centre from 0 (``nth``): of the first
+    ``probes`` of their length (or of all) those within reach of ``floor``, if there is one."""
 
     def run(size: int, part: pa.RecordBatch) -> list:
         queries = _matrix(part.column("vector"))
         cosines = unit(queries) @ centres.get(size, np.zeros((1, size))).T
         floor = part.column("floor").to_numpy(zero_copy_only=False).astype(float)
         span = np.array([bounds.get((size, c), (-1.0, 1.0)) for c in range(cosines.shape[1])])
-        wanted = reach(cosines, span[:, 0], span[:, 1], size) >= floor[:, None]
-        home = np.argsort(-cosines, axis=1, kind="stable")[:, :HOME]
-        first = np.zeros_like(wanted)
-        np.put_along_axis(first, home, True, axis=1)
-        q, cell = np.nonzero(np.where(np.isnan(floor)[:, None], first, wanted))
+        nth = np.argsort(np.argsort(-cosines, axis=1, kind="stable"), axis=1)
+        within = np.isnan(floor)[:, None] | (reach(cosines, span[:, 0], span[:, 1]) >= floor[:, None])
+        q, cell = np.nonzero(within & (nth < probes.get(size, nth.shape[1])))
         bits, low, step, total = planes(queries)
         packed = _packed(bits).take(pa.array(q))
         ids = part.column("q").take(pa.array(q))
-        return [ids, np.full(len(q), size, np.int32), cell.astype(np.int32), cosines[q, cell], floor[q], packed, low[q], step[q], total[q]]
+        return [ids, np.full(len(q), size, np.int32), cell.astype(np.int32), nth[q, cell].astype(np.int32), cosines[q, cell], floor[q], packed, low[q], step[q], total[q]]
 
     return asked.select("q", "size", "vector", "floor").mapInArrow(_by_size(run, ASKED, 128), ASKED)
 
@@ -272,9 +270,9 @@ def _scan(codes: DataFrame, cells: DataFrame, asking: DataFrame, few: int) -> Da
 
 
 def _ranked(pairs: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
-    """``q``, exact ``score``, ``same`` (equal vectors) and ``ids`` of pairs."""
+    """``q``, ``row``, exact ``score``, ``same`` (equal vectors) and ``ids`` of pairs."""
     both = pairs.join(classes.select("row", "vector", "ids"), "row").join(asked.select("q", F.col("vector").alias("query")), "q")
-    schema = "q long, score double, same boolean, ids array<long>"
+    schema = "q long, row long, score double, same boolean, ids array<long>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -282,10 +280,10 @@ def _ranked(pairs: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame
             for size in np.unique(sizes):
                 part = batch.filter(pa.array(sizes == size))
                 a, b = _matrix(part.column("query")), _matrix(part.column("vector"))
-                columns = [part.column("q"), pa.array(exact_cosines(a, b)), pa.array((a == b).all(axis=1)), part.column("ids")]
-                yield pa.RecordBatch.from_arrays(columns, names=["q", "score", "same", "ids"])
+                columns = [part.column("q"), part.column("row"), pa.array(exact_cosines(a, b)), pa.array((a == b).all(axis=1)), part.column("ids")]
+                yield pa.RecordBatch.from_arrays(columns, names=["q", "row", "score", "same", "ids"])
 
-    return both.select("q", "query", "vector", "ids").mapInArrow(run, schema)
+    return both.select("q", "row", "query", "vector", "ids").mapInArrow(run, schema)
 
 
 def nearest(
@@ -309,13 +307,24 @@ def nearest(
     queries = rows.filter(is_query)
     asked = queries.select("vector").distinct().select(F.monotonically_increasing_id().alias("q"), F.size("vector").alias("size"), "vector")
     asked = stage(asked, "asked")
-    first = _ask(asked.withColumn("floor", F.lit(None).cast("double")), centres, bounds)
+    first = _ask(asked.withColumn("floor", F.lit(None).cast("double")), centres, bounds, {size: HOME for size in centres})
     # a row of few results has no floor and asks for everything of its length
     nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score")))
     reached = _ranked(_scan(codes, cells, first, 4 * most), classes, asked).select("q", "score").withColumn("nth", nth)
     floors = reached.filter(F.col("nth") == most).select("q", (F.col("score") - 1e-6).alias("floor"))
-    again = asked.join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0)))
-    asking = stage(_ask(again, centres, bounds), "asking")
+    again = stage(asked.join(floors, "q", "left").withColumn("floor", F.coalesce("floor", F.lit(-2.0))), "floors")
+    probes = {}
+    if centres:
+        nth = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("vector"), "vector"))
+        trials = again.filter(F.col("size").isin(list(centres))).withColumn("nth", nth).filter(F.col("nth") <= TRIALS)
+        asking = _ask(trials, centres, bounds, {})
+        nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "row"))
+        near = _ranked(_scan(codes, cells, asking, 0), classes, asked).filter(~F.col("same")).withColumn("at", nth).filter(F.col("at") <= k)
+        places = near.select("q", "row").join(codes.select("row", "size", "cell"), "row").join(asking.select("q", "cell", "nth"), ["q", "cell"])
+        # one number a length
+        measured = places.groupBy("size").agg(F.percentile("nth", F.lit(SHARE)).alias("nth")).collect()
+        probes = {r["size"]: max(HOME, int(np.ceil(r["nth"])) + 1) for r in measured}
+    asking = stage(_ask(again, centres, bounds, probes), "asking")
 
     found = _ranked(_scan(codes, cells, asking, 0), classes, asked).select("q", "score", "same", F.explode("ids").alias("id"))
     best = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))

@@ -400,6 +400,38 @@ def test_nearest_on_the_given_vectors(spark):
     assert hits >= 0.9 * n and len(found) == n
 
 
+@pytest.mark.parametrize("spread", [0.5, 100.0])
+def test_nearest_over_cells(spark, monkeypatch, spread):
+    """Clusters much smaller than cells, vectors without structure, and a vector that a
+    third of all rows hold: many cells, and blocks of a few vectors and queries."""
+    for name, value in {"CELL": 100, "HOME": 2, "CANDIDATES": 64, "QUERIES": 16, "PART": 8, "TRIALS": 32}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal((200, 24))[rng.integers(0, 200, 3000)] + spread * rng.standard_normal((3000, 24))
+    base[1000:2000] = base[1000]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>")
+    found = neighbours.nearest(df, F.col("id") % 50 == 0).toPandas()
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    hits = 0
+    for q, group in found.groupby("query_id"):
+        cos = np.round(unit @ unit[q], 12)
+        cos[q] = -2
+        near = group.sort_values("rank")
+        assert near["score"].tolist() == pytest.approx(unit[near["vec_id"]] @ unit[q], abs=1e-12)
+        hits += len(set(np.lexsort((np.arange(3000), -cos))[:5]) & set(near["vec_id"]))
+    assert found["query_id"].nunique() == 60 and len(found) == 300 and hits >= 0.9 * 300
+
+
+def test_estimates_lie_within_their_bounds():
+    rng = np.random.default_rng(5)
+    vectors, queries, centres = rng.standard_normal((500, 40)), rng.standard_normal((20, 40)), neighbours.unit(rng.standard_normal((1, 40)))
+    cell, words, *scalars = neighbours.encode(vectors, centres)
+    assert words.shape == (500, 3) and not cell.any()
+    cosine, width = neighbours.estimate(*neighbours.planes(queries), (neighbours.unit(queries) @ centres.T)[:, 0], words, *scalars)
+    error = np.abs(cosine - neighbours.unit(queries) @ neighbours.unit(vectors).T)
+    assert (error <= width).mean() > 0.98 and width.max() < 0.4
+
+
 def test_nearest_with_equal_identifiers_and_extremes(spark):
     rows_ = [(0, [1.0, 0.0], 7), (1, [0.0, 1.0], 7), (1, [1.0, 0.1], 7), (1, [1.0, 0.1], 7), (2, [1e200, 1e199], 7), (3, [1e-200, 0.0], 7), (4, [5e-324, 0.0], 7),
              (50, [1.0, 1.0], 7), (50, [-1.0, 0.0], 7), (6, [1.0, 0.0, 0.0], 7)]
