@@ -279,6 +279,86 @@ def test_repeated_words_are_unlikely(spark):
     assert (p[0][2:8] < 0.1).all() and (p[0][:2] == p[1][:2]).all() and p[0][1] > 0.5
 
 
+def _kneser_ney(texts, steps, words):
+    """The log10 probability of a text, counted with dictionaries."""
+    from scrubline.llm.ngrams import END, START
+
+    def grams(text):
+        keys = [START, START, *words(text.encode()).tolist(), END]
+        return [tuple(int(k) for k in keys[i - 2 : i + 1]) for i in range(2, len(keys))]
+
+    third = Counter(g for t in texts for g in grams(t) if g[2] != quality.REPEATED)
+    counts = [third, Counter(g[1:] for g in third)]
+    counts.append(Counter(g[1:] for g in counts[1]))
+    counts.reverse()
+    sums, less = [Counter() for _ in counts], [Counter() for _ in counts]
+    for i, table in enumerate(counts):
+        for g, n in table.items():
+            sums[i][g[:-1]] += n
+            less[i][g[:-1]] += steps[i][min(n, 3)]
+
+    def log10(text):
+        total = 0
+        for g in grams(text):
+            p = 1 / (len(counts[0]) + 1)
+            for i in range(3):
+                h = g[2 - i :]
+                if s := sums[i][h[:-1]]:
+                    p = (counts[i][h] - steps[i][min(counts[i][h], 3)] + less[i][h[:-1]] * p) / s
+            total += math.log10(p)
+        return total
+
+    return log10
+
+
+def _trusted_texts():
+    random.seed(8)
+    vocabulary = ["the", "house", "is", "old", "Iron", "77", "x-9", "and", "."]
+    texts = [" ".join(random.choices(vocabulary, k=n)) for n in [1, 2, 3, 4, 9, 30, 60] * 6]
+    return [*texts, "and and and and and .", "a text that comes twice .", "a text that comes twice .", "odd## WORD", ""]
+
+
+@pytest.mark.parametrize("broadcast_mb", [64, 0], ids=["sent", "segments"])
+def test_model_counts_every_trusted_text(spark, broadcast_mb):
+    """Both ways to the table against dictionaries, with and without a text's own part."""
+    texts = _trusted_texts()
+    copies = Counter(texts)
+    rows = [(i, t, copies[t]) for i, t in enumerate(texts)] + [(100, "the iron 99 house", None), (101, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, copies long")
+    trusted = df.filter("copies is not null").repartition(3)
+    found = quality.with_perplexity(df.repartition(3), ["doc_id"], trusted, broadcast_mb=broadcast_mb).collect()
+    tables = quality.train(trusted)
+    words, steps = quality.Words(tables["frequent"]), tables["steps"]
+    assert sorted(r.doc_id for r in found) == [r[0] for r in rows]
+    for r in found:
+        text = dict((i, t or "") for i, t, _ in rows)[r.doc_id]
+        want = _kneser_ney(texts, steps, words)(text)
+        assert math.isclose(r.perplexity, 10 ** (-want / r.n_tokens), rel_tol=1e-9)
+        if r.doc_id < 100:
+            want = _kneser_ney([t for t in texts if t != text], steps, words)(text)
+            assert math.isclose(r.without, 10 ** (-want / r.n_tokens), rel_tol=1e-9), text
+        else:
+            assert r.without is None
+
+
+def test_classifier_learns_from_every_trusted_row(spark):
+    """Long texts, repeated rows and all of a language, judged by the model of all."""
+    texts = _trusted_texts()
+    random.seed(9)
+    long = " ".join(random.choices(["long", "words", "of", "a", "report"], k=12_000))
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(90, long, "de"), (91, "one row twice .", None), (91, "one row twice .", None)]
+    others = [(100, "the iron 99 house", "en"), (101, None, "en"), (None, "the house", "en"), (102, "one row twice .", "fr")]
+    df = spark.createDataFrame(rows + others, "doc_id long, text string, lang string")
+    labels = [(r[0], q) for r in rows[:-1] for q in (0, 1)] + [(100, 0), (101, 1)]
+    found = quality.classify(df, spark.createDataFrame(labels, "doc_id long, quality int"), ["doc_id", "text"]).collect()
+    trusted = [r[1] for r in rows]
+    assert len(long) > 50_000 and len(found) == len(rows) + len(others)
+    tables = quality.train(spark.createDataFrame([(t,) for t in trusted], "text string"))
+    log10 = _kneser_ney(trusted, tables["steps"], quality.Words(tables["frequent"]))
+    for r in found:
+        assert math.isclose(r.perplexity, 10 ** (-log10(r.text or "") / r.n_tokens), rel_tol=1e-9), r.doc_id
+
+
 def test_every_document_has_its_decision(spark):
     found = QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.01")
     all_, kept = found.count(), found.filter("keep").count()
