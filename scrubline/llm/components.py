@@ -42,7 +42,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stage(pair.distinct(), "edges")
     state = _state(now)
     while state[0]:
-        now = stage(_small_star(_large_star(now)), "edges")
+        # a round gives an edge for each edge and one for each node that is not the smallest, at most
+        now = stage(_small_star(_large_star(now)), "edges", at_most=2 * state[0])
         before, state = state, _state(now)
         if before == state:
             break

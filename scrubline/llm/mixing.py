@@ -177,7 +177,7 @@ def mix(
     ``weights``, repeated as often as needed."""
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"))
     slim = slim.withColumn("at", F.monotonically_increasing_id())
-    places = stage(_places(slim, ["id", "at"], "id", "text", "source"), "places")
+    places = stage(_places(slim, ["id", "at"], "id", "text", "source"), "places", at_most=docs.count())
     plan = source_plan(places, weights, block)
     taken = (
         _pieces(places, ["at"], block)
@@ -218,7 +218,7 @@ def mixed_documents(
         F.col(f"row.`{source_col}`").alias("source"),
         "at",
     )
-    places = stage(_places(slim, ["at"], "id", "text", "source"), "places")
+    places = stage(_places(slim, ["at"], "id", "text", "source"), "places", at_most=rows.count())
     uses = block_uses(docs.sparkSession, source_plan(places, weights, block))
     spans = (
         _pieces(places, ["at"], block)

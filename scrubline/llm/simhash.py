@@ -217,13 +217,14 @@ def near_duplicates(
     identifier that can be reached over links, and ``root``, the fingerprint that
     tells its component apart."""
     prints = stage(with_fingerprint(docs, kept, text_col, shingle), "fingerprints")
-    points = stage(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")), "points")
+    rows = prints.count()
+    points = stage(prints.groupBy("fp").agg(F.min(id_col).alias("least_id")), "points", at_most=rows)
     nearest = components(fingerprint_links(points, distance))
     root = points.join(nearest, points["fp"] == nearest["u"], "left").select(
         "fp", "least_id", F.coalesce("v", "fp").alias("root")
     )
     least = root.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    classes = stage(root.join(least, "root").select("fp", "component_id", "root"), "classes")
+    classes = stage(root.join(least, "root").select("fp", "component_id", "root"), "classes", at_most=rows)
     return prints.join(classes, "fp").select(*kept, "fp", "component_id", "root")
 
 

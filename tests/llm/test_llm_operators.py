@@ -6,11 +6,12 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from scrubline.llm import exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
+from scrubline.llm import common, exact, licences, lm_bloom, mixing, neighbours, packing, quality, simhash, token_counts, url_lists
 from scrubline.llm.components import components
 from scrubline.llm.oracle import ORACLE
 from scrubline.llm.queries import QUERIES
@@ -359,6 +360,36 @@ def test_classifier_learns_from_every_trusted_row(spark):
         assert math.isclose(r.perplexity, 10 ** (-log10(r.text or "") / r.n_tokens), rel_tol=1e-9), r.doc_id
 
 
+def test_small_tables_are_few_files(spark):
+    """However many partitions they come in, as each file costs the executor that writes it."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = components(spark.createDataFrame([(i, i + 1) for i in range(60)], "a long, b long"))
+        assert sorted(map(tuple, found.collect())) == [(i, 0) for i in range(1, 61)] and len(found.inputFiles()) == 1
+        table, _ = quality.count(spark.createDataFrame([(t,) for t in _trusted_texts()], "text string").repartition(3))
+        assert len(table.inputFiles()) == 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    many = common.stage(spark.range(100_000).repartition(8), "many", at_most=100_000)
+    assert many.count() == 100_000 and len(many.inputFiles()) == 2
+
+
+def test_workers_do_not_keep_the_model(spark):
+    texts = _trusted_texts()
+    df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, copies long")
+    assert quality.with_perplexity(df.repartition(8), ["doc_id"], df).count() == len(texts)
+
+    def held(batches):
+        import sys
+
+        for batch in batches:
+            worker = vars(sys.modules.get("_scrubline_llm_worker", object))
+            yield pa.RecordBatch.from_arrays([pa.array([str(worker.get("key"))] * batch.num_rows)], names=["key"])
+
+    keys = {r.key for r in spark.range(64).repartition(8).mapInArrow(held, "key string").collect()}
+    assert not [k for k in keys if "quality" in k]
+
+
 def test_every_document_has_its_decision(spark):
     found = QUERIES["op2_quality_classifier"](spark, "/root/testdata/sf0.01")
     all_, kept = found.count(), found.filter("keep").count()
