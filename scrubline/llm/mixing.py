@@ -17,8 +17,9 @@ Nothing depends on the order of rows or on the partitioning: a document's place
 in its source follows from its identifier, draws are hashes of their numbers.
 Places are prefix sums in two levels, over buckets and within a bucket, each of
 about the square root of the rows, so a source with a third of all rows is never
-in one task.  To the driver comes one row per source, like the weights; sources are
-joined, so there may be many.
+in one task.  Sources are numbered, and their slots added up, in two levels too, over
+runs of sources and within a run; to the driver come sums over all of them and one number
+for each weight, so there may be as many sources as documents.
 
 Defined cases: a null text has no words; a null source is a source, the last; a
 null identifier comes first in its bucket; rows that are repeated are documents
@@ -28,6 +29,7 @@ result; further columns do not matter.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame, Window
@@ -42,23 +44,31 @@ SEED = 20240229
 ROUNDS, WALK, MAX_TASKS = 6, 128, 20_000
 
 
+def _level(opened: Callable[[float], tuple[float, float, int]]) -> float:
+    """The share of a weight of one, where shares that would be above their cap end there.
+    ``opened`` gives what a level leaves to the sources that it does not fill, and their weight
+    and number.  A level is never below the one before, so what is filled stays so."""
+    level, before = 0.0, None
+    while True:
+        rest, weight, n = opened(level)
+        if not n:
+            return float("inf")
+        if n == before:
+            return level
+        level, before = rest / weight, n
+
+
 def targets(sizes: list[int], weights: list[float], cap: float = MAX_EPOCHS) -> list[float]:
     """Shares of the sum of ``sizes`` by weight, none above ``cap`` times its size;
     what is above is shared again by weight among the others."""
-    result = [0.0] * len(sizes)
-    rest, open_ = float(sum(sizes)), list(range(len(sizes)))
-    while open_:
-        level = rest / sum(weights[i] for i in open_)
-        full = [i for i in open_ if cap * sizes[i] < level * weights[i]]
-        if not full:
-            for i in open_:
-                result[i] = level * weights[i]
-            break
-        for i in full:
-            result[i] = float(cap * sizes[i])
-            rest -= result[i]
-        open_ = [i for i in open_ if i not in set(full)]
-    return result
+
+    def opened(level: float) -> tuple[float, float, int]:
+        left = [i for i, (size, weight) in enumerate(zip(sizes, weights)) if cap * size >= level * weight]
+        filled = sum(sizes) - sum(sizes[i] for i in left)
+        return float(sum(sizes)) - cap * filled, sum(weights[i] for i in left), len(left)
+
+    level = _level(opened)
+    return [float(min(cap * size, level * weight)) for size, weight in zip(sizes, weights)]
 
 
 def _places(docs: DataFrame, kept: list[str], id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -103,31 +113,58 @@ def permuted(i: Column, n: Column, *key: Column) -> Column:
     return F.when(first < n, first).otherwise(inside)
 
 
-def source_plan(places: DataFrame, weights: list[float], block: int) -> list[dict]:
-    """One entry per source with words or without, in code point order, null last."""
-    sums = places.groupBy("src").agg(F.sum("size").alias("size")).orderBy("src").collect()
-    wanted = targets([r["size"] for r in sums], [weights[i % len(weights)] for i in range(len(sums))])
-    plan = []
-    for r, target in zip(sums, wanted):
-        blocks = ceil(r["size"] / block)
-        slots = target / r["size"] * blocks if r["size"] else 0.0
-        plan.append({"src": r["src"], "size": r["size"], "target": target, "blocks": blocks, "slots": slots})
-    return plan
-
-
-def shard_counts(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
-    """``src``, ``blocks``, ``shard``, ``first`` and ``n``: the slots that each shard draws for a
-    source are its slots from ``first`` on, ``n`` of them."""
-    rows, total = [], 0
-    for p in plan:
-        slots = min(round(p["slots"]), MAX_EPOCHS * p["blocks"])
-        rows.append((p["src"], p["blocks"], total, slots))
-        total += slots
-    sources = spark.createDataFrame(rows, "src string, blocks long, before long, slots long")
+def _before(sources: DataFrame, value: Column, name: str) -> DataFrame:
+    """Adds ``name``, the sum of ``value`` over the sources before.  ``part`` numbers the runs
+    of sources."""
+    runs = sources.groupBy("part").agg(F.sum(value).alias("all"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = runs.select("part", F.coalesce(F.sum("all").over(earlier), F.lit(0)).alias("base"))
+    inside = Window.partitionBy("part").orderBy("src").rowsBetween(Window.unboundedPreceding, -1)
+    # as many rows as there are partitions
+    rows = sources.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0))).join(F.broadcast(base), "part")
+    return rows.withColumn(name, F.col("base") + F.col(name)).drop("base")
+
+
+def source_plan(places: DataFrame, weights: list[float], block: int, cap: float = MAX_EPOCHS) -> DataFrame:
+    """One row per source with words or without: ``part`` (runs in code point order, null
+    last), ``src``, ``size``, ``target``, ``blocks`` and ``slots``."""
+    sums = places.groupBy("src").agg(F.sum("size").alias("size"))
+    dealt = stage(sums.repartitionByRange("src").withColumn("part", F.spark_partition_id()), "source_sizes")
+    which = F.pmod(F.col("i"), F.lit(len(weights))).cast("int").alias("which")
+    sources = stage(_before(dealt, F.lit(1), "i").select("part", "src", "size", which), "sources")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.col("which") + 1)
+    total = sources.agg(F.sum("size")).first()[0] or 0
+
+    def is_open(level: float) -> Column:
+        return F.col("size") * cap >= F.lit(level) * weight
+
+    def opened(level: float) -> tuple[float, float, int]:
+        sums = sources.groupBy("which").agg(F.count_if(is_open(level)).alias("n"), F.sum(F.when(~is_open(level), F.col("size"))).alias("filled"))
+        by = sums.orderBy("which").collect()
+        return float(total) - cap * sum(r["filled"] or 0 for r in by), sum(r["n"] * weights[r["which"]] for r in by), sum(r["n"] for r in by)
+
+    level = _level(opened)
+    target = F.when(is_open(level), F.lit(level) * weight).otherwise(F.col("size") * cap).cast("double")
+    plan = sources.select("part", "src", "size", target.alias("target"), F.expr(f"(size + {block - 1}) div {block}").alias("blocks"))
+    slots = F.when(F.col("size") > 0, F.col("target") / F.col("size") * F.col("blocks")).otherwise(0.0)
+    return stage(plan.withColumn("slots", slots), "source_plan")
+
+
+def _slots(spark, plan: DataFrame | list[dict]) -> tuple[DataFrame, int]:
+    """The sources of a plan with whole ``slots`` and those ``before``; and the sum of all.  A
+    list is a plan of few sources, in order."""
+    if isinstance(plan, list):
+        plan = spark.createDataFrame([(0, p["src"], p["blocks"], float(p["slots"])) for p in plan], "part int, src string, blocks long, slots double")
+    slots = F.least(F.rint("slots").cast("long"), F.col("blocks") * MAX_EPOCHS).alias("slots")
+    sources = plan.select("part", "src", "blocks", slots)
+    return _before(sources, F.col("slots"), "before"), sources.agg(F.sum("slots")).first()[0] or 0
+
+
+def _counts(sources: DataFrame, total: int, shard: int) -> DataFrame:
     # a source's slots in runs, so that a large source is many rows
     last = F.expr(f"(slots - 1) div {shard}")
     runs = sources.filter("slots > 0").select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("run"))
-    runs = runs.repartition(_tasks(plan, shard), "src", "run")
+    runs = runs.repartition(_tasks(total, shard), "src", "run")
     upto = F.least("slots", (F.col("run") + 1) * shard) - 1
     slots = runs.select("src", "blocks", "before", F.explode(F.sequence(F.col("run") * shard, upto)).alias("slot"))
     place = permuted(F.col("before") + F.col("slot"), F.lit(total).cast("long"), F.lit(SEED))
@@ -136,14 +173,21 @@ def shard_counts(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
     return drawn.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0)))
 
 
-def _tasks(plan: list[dict], shard: int) -> int:
+def shard_counts(spark, plan: DataFrame | list[dict], shard: int = SHARD) -> DataFrame:
+    """``src``, ``blocks``, ``shard``, ``first`` and ``n``: the slots that each shard draws for a
+    source are its slots from ``first`` on, ``n`` of them."""
+    return _counts(*_slots(spark, plan), shard)
+
+
+def _tasks(slots: int, shard: int) -> int:
     """Tasks for the slots: their own number, as the rows they are made from look few."""
-    return min(MAX_TASKS, max(1, ceil(sum(p["slots"] for p in plan) / (4 * shard))))
+    return min(MAX_TASKS, max(1, ceil(slots / (4 * shard))))
 
 
-def block_uses(spark, plan: list[dict], shard: int = SHARD) -> DataFrame:
+def block_uses(spark, plan: DataFrame | list[dict], shard: int = SHARD) -> DataFrame:
     """``src``, ``block`` and ``uses``: how often the mix takes each block it takes."""
-    counts = shard_counts(spark, plan, shard).repartition(_tasks(plan, shard), "src", "shard")
+    sources, total = _slots(spark, plan)
+    counts = _counts(sources, total, shard).repartition(_tasks(total, shard), "src", "shard")
     slots = counts.select("src", "blocks", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("n") - 1)).alias("slot"))
     epoch, at = F.expr("slot div blocks"), F.pmod("slot", "blocks")
     block = permuted(at, F.col("blocks"), F.col("src"), epoch, F.lit(SEED))
@@ -185,10 +229,8 @@ def mix(
         .groupBy("at")
         .agg(F.sum(F.col("words") * F.col("uses")).alias("taken"))
     )
-    sources = docs.sparkSession.createDataFrame(
-        [(p["src"], p["size"], p["target"]) for p in plan], "src string, source_size long, target double"
-    )
-    if len(plan) <= 10_000:
+    sources = plan.select("src", F.col("size").alias("source_size"), "target")
+    if plan.count() <= 10_000:
         sources = F.broadcast(sources)
     return (
         places.join(taken, "at", "left")

@@ -648,3 +648,23 @@ def test_pipeline(spark, docs):
     assert near["component_id"].nunique() == len(near)
     packed = corpus_pipeline.run(spark, SF).toPandas()
     assert packed.groupby("sequence_id")["length"].sum().max() <= 1024
+
+
+def test_sources_stay_off_the_driver(spark, monkeypatch):
+    """As many as there are documents: their plan is that of the list, and no row of it is collected."""
+    random.seed(6)
+    sizes = {f"s{i}": random.choice([0, 1, 3, 20, random.randrange(2000)]) for i in range(1500)}
+    docs = [(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes.items())] + [(-1, "a b c", None)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    taken = []
+    frame = type(docs)
+    monkeypatch.setattr(frame, "collect", lambda self, f=frame.collect: (taken.append(f(self)), taken[-1])[1])
+    found = mixing.mix(docs, [1, 2, 3]).toArrow().to_pylist()
+    mixed = mixing.mixed_documents(docs, [1, 2, 3]).toArrow().num_rows
+    assert max(map(len, taken)) <= 3 and mixed > 500
+    names = [*sorted(sizes), None]
+    all_ = [sizes.get(s, 3) for s in names]
+    want = dict(zip(names, mixing.targets(all_, [1 + i % 3 for i in range(len(names))])))
+    source = dict(zip([*range(len(sizes)), -1], [*sizes, None]))
+    assert len(found) == len(names) and {r["doc_id"]: r["target"] for r in found} == {i: want[s] for i, s in source.items()}
+    assert sum(want.values()) == pytest.approx(sum(all_))
