@@ -668,3 +668,19 @@ def test_sources_stay_off_the_driver(spark, monkeypatch):
     source = dict(zip([*range(len(sizes)), -1], [*sizes, None]))
     assert len(found) == len(names) and {r["doc_id"]: r["target"] for r in found} == {i: want[s] for i, s in source.items()}
     assert sum(want.values()) == pytest.approx(sum(all_))
+
+
+@pytest.mark.parametrize("broadcast_mb", [64, 0], ids=["sent", "segments"])
+def test_every_trusted_word_counts(spark, broadcast_mb):
+    """Rare words too, as themselves: against dictionaries of all words."""
+    random.seed(12)
+    # no word follows itself
+    texts = [" ".join(f"the {random.choice(['old', f'w{random.randrange(400)}', f'{i}'])}" for _ in range(random.choice([2, 10]))) for i in range(300)]
+    copies = Counter(texts)
+    df = spark.createDataFrame([(i, t, copies[t]) for i, t in enumerate(texts)] + [(900, "the w1000 old", None)], "doc_id long, text string, copies long")
+    trusted = df.filter("copies is not null")
+    found = quality.with_perplexity(df.repartition(2), ["doc_id", "text"], trusted, broadcast_mb=broadcast_mb).collect()
+    log10 = _kneser_ney(texts, quality.train(trusted)["steps"], lambda t: quality.hashed(t.split()))
+    assert len(found) == 301
+    for r in found:
+        assert math.isclose(r.perplexity, 10 ** (-log10(r.text) / r.n_tokens), rel_tol=1e-9), r.text
